@@ -2,22 +2,39 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Lookup rows carry two or three short columns, some 150 bytes each in a hash table: at most 75 MB.
+BROADCAST_ROWS = 500_000
+
 # A key with more rows than this on the many side is spread over SALTS tasks.
 HOT_KEY_ROWS = 1_000_000
 SALTS = 256
 
 
-def lookup(facts: DataFrame, dimension: DataFrame, on: str, *take: str) -> DataFrame:
+@lru_cache(maxsize=64)
+def _row_count(df: DataFrame) -> int:
+    return df.count()
+
+
+def lookup(
+    facts: DataFrame, dimension: DataFrame, on: str, *take: str, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Left join that fetches ``take`` from the dimension; a miss or a null key yields nulls.
 
-    Only the key and the fetched columns travel. No broadcast is forced: a dimension grows with the
-    business, so its measured size decides. Where both sides shuffle, each side comes straight out
-    of an exchange on ``on``, which is the shape adaptive execution can split at a hot key.
+    Only the key and the fetched columns travel. The dimension is counted first (one pass over it,
+    nothing next to a fact) and broadcast only up to BROADCAST_ROWS; the optimizer's own estimate
+    multiplies the sizes of joined inputs and would shuffle the facts for a tiny dimension. Beyond
+    that both sides shuffle, each straight out of an exchange on ``on``, which is the shape in which
+    adaptive execution can split a hot key. ``sized_by`` is a cheaper relation with as many rows.
     """
-    return facts.join(dimension.select(on, *take), on, "left")
+    side = dimension.select(on, *take)
+    if _row_count(sized_by if sized_by is not None else dimension) <= BROADCAST_ROWS:
+        side = F.broadcast(side)
+    return facts.join(side, on, "left")
 
 
 def join_hot_keys(

@@ -150,12 +150,15 @@ def fact_marketing_funnel(
     Performance is attached to sellers, sellers to deals, deals to leads. Leads without a deal thus
     never take part in the seller joins, where all of them would share the null key.
     """
-    sellers = lookup(dim_sellers.select("seller_id", "seller_key"), seller_performance(sales), "seller_key",
-                     "first_sale_at", "total_orders_completed", "total_gross_revenue")
+    performance = ("first_sale_at", "total_orders_completed", "total_gross_revenue")
+    # Both sides hold one row per seller, and one row of either is at most one of the result.
+    sellers = dim_sellers.select("seller_id", "seller_key").join(seller_performance(sales), "seller_key", "left")
     deal_columns = ("mql_id", "seller_id", "sdr_id", "sr_id", "won_at",
                     "declared_product_catalog_size", "declared_monthly_revenue")
-    won = deals.select(*deal_columns).join(sellers, "seller_id", "left")
-    funnel = lookup(leads.select("mql_id", "first_contact_at"), dim_marketing_leads, "mql_id", "mql_key")
+    won = lookup(deals.select(*deal_columns), sellers, "seller_id", "seller_key", *performance, sized_by=dim_sellers)
+    funnel = leads.select("mql_id", "first_contact_at").join(
+        dim_marketing_leads.select("mql_id", "mql_key"), "mql_id", "left"
+    )
     return funnel.join(won, "mql_id", "left").select(
         surrogate_key("mql_id").alias("funnel_key"),
         "mql_key",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +34,9 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return wrap
 
 
+@lru_cache(maxsize=8)
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Model plans (not data) are composed once and shared by the queries of a session."""
     return Warehouse(testbed.SourceTables(spark, sf_dir))
 
 
