@@ -97,21 +97,21 @@ from events where event_type = 'signup' and event_id % 3 <> 2"""
 # --- cleaning models ---------------------------------------------------------------------------
 
 
-def _initcap(text: str) -> str:
+def initcap(text: str) -> str:
     words = f"regexp_extract_all({text}, '([\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+)')"
     return f"array_to_string(list_transform({words}, lambda w: upper(w[1]) || lower(w[2:])), '')"
 
 
-def _key(*parts: str) -> str:
+def key(*parts: str) -> str:
     texts = ", ".join(f"coalesce(cast({p} as varchar), '_null_')" for p in parts)
     return f"md5(concat_ws('-', {texts}))"
 
 
-def _days(later: str, earlier: str) -> str:
+def days(later: str, earlier: str) -> str:
     return f"cast(extract(day from {later} - {earlier}) as integer)"
 
 
-def _hours(later: str, earlier: str) -> str:
+def hours(later: str, earlier: str) -> str:
     return f"date_diff('microsecond', {earlier}, {later}) / cast(3.6e9 as double)"
 
 
@@ -143,12 +143,12 @@ from src_order_reviews"""
 
 RELATIONS["stg_customers"] = f"""
 select customer_id, customer_unique_id, customer_zip_code_prefix,
-  {_initcap("trim(customer_city)")} as customer_city, upper(trim(customer_state)) as customer_state
+  {initcap("trim(customer_city)")} as customer_city, upper(trim(customer_state)) as customer_state
 from src_customers"""
 
 RELATIONS["stg_sellers"] = f"""
 select seller_id, seller_zip_code_prefix,
-  {_initcap("trim(seller_city)")} as seller_city, upper(trim(seller_state)) as seller_state
+  {initcap("trim(seller_city)")} as seller_city, upper(trim(seller_state)) as seller_state
 from src_sellers"""
 
 RELATIONS["stg_products"] = """
@@ -180,19 +180,19 @@ from src_product_category_name_translation"""
 # --- dimensions --------------------------------------------------------------------------------
 
 RELATIONS["dim_customers"] = f"""
-select {_key("customer_id")} as customer_key, customer_id, customer_unique_id,
+select {key("customer_id")} as customer_key, customer_id, customer_unique_id,
   ifnull(customer_zip_code_prefix, 'unknown') as customer_zip_code_prefix,
   ifnull(customer_city, 'unknown') as customer_city, ifnull(customer_state, 'unknown') as customer_state
 from stg_customers"""
 
 RELATIONS["dim_sellers"] = f"""
-select {_key("seller_id")} as seller_key, seller_id,
+select {key("seller_id")} as seller_key, seller_id,
   ifnull(seller_zip_code_prefix, 'unknown') as seller_zip_code_prefix,
   ifnull(seller_city, 'unknown') as seller_city, ifnull(seller_state, 'unknown') as seller_state
 from stg_sellers"""
 
 RELATIONS["dim_products"] = f"""
-select {_key("product_id")} as product_key, product_id,
+select {key("product_id")} as product_key, product_id,
   ifnull(p.product_category_name, 'nao_informado') as product_category_name_pt,
   ifnull(t.product_category_name_english, 'others/unspecified') as product_category_name,
   ifnull(product_name_length, 0) as product_name_length,
@@ -202,11 +202,11 @@ select {_key("product_id")} as product_key, product_id,
   ifnull(product_length_cm, 0)::decimal(10,2) as product_length_cm,
   ifnull(product_height_cm, 0)::decimal(10,2) as product_height_cm,
   ifnull(product_width_cm, 0)::decimal(10,2) as product_width_cm,
-  ifnull(product_length_cm * product_height_cm * product_width_cm, 0)::decimal(30,6) as product_volume_cm3
+  ifnull(product_length_cm::decimal(30,2) * product_height_cm * product_width_cm, 0)::decimal(30,6) as product_volume_cm3
 from stg_products p left join stg_product_category_name t using (product_category_name)"""
 
 RELATIONS["dim_marketing_leads"] = f"""
-select {_key("l.mql_id")} as mql_key, l.mql_id, d.seller_id, d.sdr_id, d.sr_id,
+select {key("l.mql_id")} as mql_key, l.mql_id, d.seller_id, d.sdr_id, d.sr_id,
   ifnull(landing_page_id, 'unknown') as landing_page_id, ifnull(origin, 'unknown') as origin,
   ifnull(business_segment, 'unknown') as business_segment, ifnull(lead_type, 'unknown') as lead_type,
   ifnull(lead_behaviour_profile, 'unknown') as lead_behaviour_profile,
@@ -218,12 +218,12 @@ from stg_marketing_qualified_leads l left join stg_closed_deals d on d.mql_id =
 # --- facts -------------------------------------------------------------------------------------
 
 RELATIONS["fact_sales"] = f"""
-select {_key("i.order_id", "i.order_item_id")} as sales_item_key, i.order_id, i.order_item_id,
+select {key("i.order_id", "i.order_item_id")} as sales_item_key, i.order_id, i.order_item_id,
   c.customer_key, p.product_key, s.seller_key, o.order_status, o.order_purchase_at, o.order_approved_at,
   o.order_delivered_carrier_at, o.order_delivered_customer_at, o.order_estimated_delivery_at,
   i.shipping_limit_at, i.price, i.freight_value, (i.price + i.freight_value)::decimal(11,2) as total_item_amount,
-  {_days("o.order_delivered_customer_at", "o.order_purchase_at")} as delivery_duration_days,
-  {_days("o.order_estimated_delivery_at", "o.order_delivered_customer_at")} as delivery_delay_vs_estimated_days,
+  {days("o.order_delivered_customer_at", "o.order_purchase_at")} as delivery_duration_days,
+  {days("o.order_estimated_delivery_at", "o.order_delivered_customer_at")} as delivery_delay_vs_estimated_days,
   ifnull(o.order_delivered_customer_at > o.order_estimated_delivery_at, false) as is_late_delivery
 from stg_order_items i join stg_orders o on o.order_id = i.order_id
   left join dim_customers c on c.customer_id = o.customer_id
@@ -231,7 +231,7 @@ from stg_order_items i join stg_orders o on o.order_id = i.order_id
   left join dim_sellers s on s.seller_id = i.seller_id"""
 
 RELATIONS["fact_payments"] = f"""
-select {_key("y.order_id", "y.payment_sequential")} as payment_key, y.order_id, y.payment_sequential,
+select {key("y.order_id", "y.payment_sequential")} as payment_key, y.order_id, y.payment_sequential,
   c.customer_key, y.payment_type, o.order_status, o.order_purchase_at, y.payment_installments, y.payment_value,
   ifnull(y.payment_installments > 1, false) as is_installment,
   ifnull(y.payment_type = 'voucher', false) as is_voucher_used
@@ -244,10 +244,10 @@ select order_id, max(product_id) as product_id, max(seller_id) as seller_id,
 from stg_order_items group by order_id"""
 
 RELATIONS["fact_reviews"] = f"""
-select {_key("r.review_id", "r.order_id")} as review_key, r.review_id, r.order_id,
+select {key("r.review_id", "r.order_id")} as review_key, r.review_id, r.order_id,
   c.customer_key, p.product_key, s.seller_key, r.review_score, r.review_comment_title, r.review_comment_message,
   r.review_created_at, r.review_answered_at, o.order_purchase_at,
-  {_hours("r.review_answered_at", "r.review_created_at")} as review_response_time_hours,
+  {hours("r.review_answered_at", "r.review_created_at")} as review_response_time_hours,
   ifnull(r.review_score >= 4, false) as is_satisfied, r.review_comment_message is not null as has_comment
 from stg_order_reviews r join stg_orders o on o.order_id = r.order_id
   left join order_items_summary m on m.order_id = r.order_id
@@ -261,9 +261,9 @@ select seller_key, min(order_purchase_at) as first_sale_at, count(distinct order
 from fact_sales group by seller_key"""
 
 RELATIONS["fact_marketing_funnel"] = f"""
-select {_key("l.mql_id")} as funnel_key, m.mql_key, s.seller_key, l.mql_id, d.seller_id, d.sdr_id, d.sr_id,
-  l.first_contact_at, d.won_at, f.first_sale_at, {_days("d.won_at", "l.first_contact_at")} as days_to_close,
-  {_days("f.first_sale_at", "d.won_at")} as days_to_first_sale,
+select {key("l.mql_id")} as funnel_key, m.mql_key, s.seller_key, l.mql_id, d.seller_id, d.sdr_id, d.sr_id,
+  l.first_contact_at, d.won_at, f.first_sale_at, {days("d.won_at", "l.first_contact_at")} as days_to_close,
+  {days("f.first_sale_at", "d.won_at")} as days_to_first_sale,
   d.declared_product_catalog_size, d.declared_monthly_revenue,
   ifnull(f.total_orders_completed, 0) as total_orders_completed,
   ifnull(f.total_gross_revenue, 0)::decimal(20,2) as total_gross_revenue,
@@ -275,6 +275,75 @@ from stg_marketing_qualified_leads l
   left join seller_performance f on f.seller_key = s.seller_key"""
 
 
+# --- earlier states of the sources ---------------------------------------------------------------
+
+
+def orders_as_of(moment: str) -> str:
+    """Orders as the source showed them at a moment: later orders unknown, later deliveries open."""
+    late = f"order_delivered_customer_date >= timestamp '{moment}'"
+    return f"""
+select * replace (
+  case when {late} then 'SHIPPED' else order_status end as order_status,
+  case when {late} then null else order_delivered_customer_date end as order_delivered_customer_date)
+from src_orders where order_purchase_timestamp < timestamp '{moment}'"""
+
+
+RELATIONS["orders_2000"] = orders_as_of("2000-01-01 00:00:00")
+
+
+def upserted(target: str, batch: str, *keys: str) -> str:
+    same = " and ".join(f"b.{k} = t.{k}" for k in keys)
+    return f"select * from {target} t where not exists (select 1 from {batch} b where {same}) union all by name select * from {batch}"
+
+
+def snapshot_first(rows: str, by: str, as_of: str) -> str:
+    moment = f"timestamp '{as_of}'"
+    return f"""
+select *, {moment} as valid_from, cast(null as timestamp) as valid_to, {moment} as updated_at,
+  {key(by, moment)} as scd_id
+from {rows}"""
+
+
+def snapshot_second(before: str, after: str, by: str, checks: tuple[str, ...], first: str, second: str) -> str:
+    """History after two runs, spelled out as one branch per fate of a key."""
+    t1, t2 = f"timestamp '{first}'", f"timestamp '{second}'"
+    changed = " or ".join(f"a.{c} is distinct from b.{c}" for c in checks)
+
+    def part(alias: str, since: str, until: str, rest: str) -> str:
+        updated = since if until == "null" else until
+        return (
+            f"select {alias}.*, {since} as valid_from, cast({until} as timestamp) as valid_to, "
+            f"{updated} as updated_at, {key(f'{alias}.{by}', since)} as scd_id {rest}"
+        )
+
+    both = f"from {before} a join {after} b using ({by})"
+    return "\nunion all by name\n".join(
+        [
+            part("a", t1, "null", f"{both} where not ({changed})"),
+            part("a", t1, t2, f"{both} where {changed}"),
+            part("b", t2, "null", f"{both} where {changed}"),
+            part("a", t1, t2, f"from {before} a anti join {after} b using ({by})"),
+            part("b", t2, "null", f"from {after} b anti join {before} a using ({by})"),
+        ]
+    )
+
+
+def suite(specs, relation_of) -> str:
+    """One count per declared test."""
+    counts = []
+    for spec in specs:
+        source, column = relation_of(spec.table), spec.column
+        if spec.test == "unique":
+            failing = f"(select {column} from {source} where {column} is not null group by 1 having count(*) > 1)"
+        else:
+            failing = f"{source} where {column} is null"
+        counts.append(
+            f"select '{spec.table}' as table_name, '{column}' as column_name, '{spec.test}' as test, "
+            f"count(*) as failures from {failing}"
+        )
+    return "\nunion all ".join(counts)
+
+
 # --- composition -------------------------------------------------------------------------------
 
 
