@@ -10,46 +10,49 @@ from souklake.operators.keys import key_columns, rows_by_key
 from souklake.sources import tables
 
 
-def upsert(
-    target: DataFrame | None,
-    batch: DataFrame,
-    keys: str | list[str],
-    dedupe_by: str | None = None,
-    small_batch: bool = False,
-) -> DataFrame:
-    """Target with the batch merged in: new keys are inserted, known keys updated.
-
-    Columns that the batch lacks keep their old value (null for a new key). The target is only ever
-    the streamed side of the joins, so a batch that is broadcast (by its size, or because the caller
-    has counted it and says ``small_batch``) leaves the target unshuffled.
-    """
-    keys = key_columns(keys)
-    batch = rows_by_key(batch, keys, "upsert batch", dedupe_by)
-    if small_batch:
-        batch = F.broadcast(batch)
-    if target is None:
-        return batch
-    unknown = [c for c in batch.columns if c not in target.columns]
+def _merge(target: DataFrame, rows: DataFrame, keys: list[str], placed: DataFrame) -> DataFrame:
+    """Target with ``rows`` (one per key) merged in; ``placed`` are the same rows as they get written."""
+    unknown = [c for c in rows.columns if c not in target.columns]
     if unknown:
         raise ValueError(f"the target has no column {', '.join(unknown)}")
-    absent = [c for c in target.columns if c not in batch.columns]
+    absent = [c for c in target.columns if c not in rows.columns]
     if not absent:
-        untouched = target.join(batch.select(*keys), keys, "left_anti")
-        return untouched.unionByName(batch.select(*target.columns))
+        untouched = target.join(rows.select(*keys), keys, "left_anti")
+        return untouched.unionByName(placed.select(*target.columns))
 
-    fresh = [c for c in batch.columns if c not in keys]
-    marked = batch.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in fresh])
+    fresh = [c for c in rows.columns if c not in keys]
+    marked = rows.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in fresh])
     merged = target.join(marked, keys, "left").select(
         [
             F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in fresh else F.col(c)
             for c in target.columns
         ]
     )
-    known = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    inserted = batch.join(known, keys, "left_anti")
+    known = target.select(*keys).join(rows.select(*keys), keys, "left_semi")
+    inserted = placed.join(known, keys, "left_anti")
     return merged.unionByName(inserted, allowMissingColumns=True).select(*target.columns)
 
 
+def upsert(
+    target: DataFrame | None, batch: DataFrame, keys: str | list[str], dedupe_by: str | None = None
+) -> DataFrame:
+    """Target with the batch merged in: new keys are inserted, known keys updated.
+
+    Columns that the batch lacks keep their old value (null for a new key). The target is only ever
+    the streamed side of the joins, so a batch that gets broadcast leaves the target unshuffled.
+    """
+    keys = key_columns(keys)
+    rows = rows_by_key(batch, keys, "upsert batch", dedupe_by)
+    return rows if target is None else _merge(target, rows, keys, rows)
+
+
+def _by_part(df: DataFrame, part: Column | None) -> DataFrame:
+    """Bring rows of a partition together for writing; large partitions are split, small ones merged."""
+    if part is None:
+        return df
+    return df.withColumn(tables.PART, part).hint("rebalance", tables.PART).drop(tables.PART)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -65,20 +68,28 @@ def upsert_table(
     rewrite of the whole table. The expression must need no column that the batch lacks.
     """
     keys = key_columns(keys)
-    rows = batch.count()
-    if rows == 0:
+    count = batch.count()
+    if count == 0:
         return 0
-    small = rows <= BROADCAST_ROWS
-    if part is None or tables.manifest(spark, path) is None:
-        merged = upsert(tables.read_table(spark, path), batch, keys, dedupe_by, small)
-        return tables.commit(spark, path, merged, part)
-
-    # Partition names only: there are as many as the table has partitions.
-    incoming = {row[0] for row in batch.select(part.alias("p")).distinct().collect()}
-    stored = tables.read_table(spark, path, keep_part=True).select(*keys, tables.PART)
-    arriving = F.broadcast(batch.select(*keys)) if small else batch.select(*keys)
-    known = stored.join(arriving, keys, "left_semi")
-    living = {row[0] for row in known.select(tables.PART).distinct().collect()}
-    touched = sorted(incoming | living)
-    merged = upsert(tables.read_table(spark, path, touched), batch, keys, dedupe_by, small)
+    small = count <= BROADCAST_ROWS
+    rows = rows_by_key(batch, keys, "upsert batch", dedupe_by)
+    if tables.manifest(spark, path) is None:
+        return tables.commit(spark, path, _by_part(rows, part), part)
+    arriving = F.broadcast(rows) if small else rows
+
+    touched = None
+    if part is not None:
+        # Partition names only: there are as many as the table has partitions.
+        incoming = {row[0] for row in batch.select(part.alias("p")).distinct().collect()}
+        stored = tables.read_table(spark, path, keep_part=True).select(*keys, tables.PART)
+        known = stored.join(arriving.select(*keys), keys, "left_semi")
+        living = {row[0] for row in known.select(tables.PART).distinct().collect()}
+        touched = sorted(incoming | living)
+
+    target = tables.read_table(spark, path, touched)
+    if small:
+        # Rows of the target stay in the files' own arrangement; only the arriving ones need one.
+        merged = _merge(target, arriving, keys, _by_part(rows, part))
+    else:
+        merged = _by_part(_merge(target, arriving, keys, rows), part)
     return tables.commit(spark, path, merged, part, replace=touched)
