@@ -29,9 +29,11 @@ def scratch_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the session's ``spark.checkpoint.dir``."""
     root = spark.conf.get(SCRATCH_SETTING, None)
     if not root:
-        # Only a session without the setting, such as a unit test, gets a folder of this machine.
-        root = tempfile.mkdtemp(prefix="souklake-")
-        spark.conf.set(SCRATCH_SETTING, root)
+        context = spark.sparkContext
+        if not context.getCheckpointDir():
+            # Only a session without the setting, such as a unit test, gets a folder of this machine.
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="souklake-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
