@@ -21,6 +21,8 @@ from souklake.sources import files
 SAFE_NAME = re.compile(r"[A-Za-z0-9_.-]+")
 
 PART = "_part"
+VERSION = "_version"
+RESERVED = {PART, VERSION}
 WHOLE = "all"
 MANIFESTS = "_manifests"
 
@@ -71,7 +73,10 @@ def commit(
     numbers = _manifest_numbers(spark, path)
     version = numbers[-1] + 1 if numbers else 1
     value = F.lit(WHOLE) if part is None else part
-    folder = f"v={version}-{spark._jvm.java.util.UUID.randomUUID().toString()[:8]}"
+    taken = RESERVED & {c.lower() for c in df.columns}
+    if taken:
+        raise ValueError(f"column names {sorted(taken)} are reserved")
+    folder = f"{VERSION}={version}-{spark._jvm.java.util.UUID.randomUUID().toString()[:8]}"
     df.withColumn(PART, value).write.partitionBy(PART).parquet(f"{path}/{folder}")
 
     kept: dict[str, list[str]] = {}
