@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from souklake.plans import cleaning, dimensions, facts
+from souklake.sources import tables
 
 MARTS = (
     "dim_customers",
@@ -70,12 +71,20 @@ def namespace_of(custom: str | None, default: str) -> str:
 
 
 def materialize(
-    df: DataFrame, name: str, kind: str, namespace: str | None = None, default_namespace: str = "warehouse",
+    df: DataFrame,
+    name: str,
+    kind: str,
+    namespace: str | None = None,
+    default_namespace: str = "warehouse",
     root: str | None = None,
+    bucket_by: tuple[int, str] | None = None,
 ) -> DataFrame:
     """Put a model at rest and return it as readers see it.
 
-    A view is a session view, a table is Parquet: under ``root`` when given, else in the catalog.
+    A view is a session view. A table is Parquet: a versioned table under ``root`` when given, else a
+    catalog table, there optionally bucketed and sorted by a key. Tables with the same buckets join
+    on that key without a shuffle, which pays for the big tables that meet on the order in every
+    fact; a key that is hot beyond one task's means should stay unbucketed, so that it can be split.
     """
     spark, space = df.sparkSession, namespace_of(namespace, default_namespace)
     if kind == "view":
@@ -85,10 +94,15 @@ def materialize(
         raise ValueError(f"a model is a view or a table, not {kind!r}")
     if root is not None:
         path = f"{root.rstrip('/')}/{space}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        tables.commit(spark, path, df)
+        return tables.read_table(spark, path)
     spark.sql(f"create database if not exists `{space}`")
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"`{space}`.`{name}`")
+    writer = df.write.mode("overwrite").format("parquet")
+    if bucket_by is not None:
+        count, key = bucket_by
+        # One task per bucket writes one file per bucket.
+        writer = df.repartition(count, key).write.mode("overwrite").format("parquet").bucketBy(count, key).sortBy(key)
+    writer.saveAsTable(f"`{space}`.`{name}`")
     return spark.table(f"`{space}`.`{name}`")
 
 

@@ -44,3 +44,7 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
     if fs.exists(target) or not fs.rename(draft, target):
         fs.delete(draft, False)
         raise FileExistsError(f"{path} was written by someone else meanwhile")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)

@@ -72,12 +72,14 @@ def commit(
     current = manifest(spark, path)
     numbers = _manifest_numbers(spark, path)
     version = numbers[-1] + 1 if numbers else 1
-    value = F.lit(WHOLE) if part is None else part
     taken = RESERVED & {c.lower() for c in df.columns}
     if taken:
         raise ValueError(f"column names {sorted(taken)} are reserved")
     folder = f"{VERSION}={version}-{spark._jvm.java.util.UUID.randomUUID().toString()[:8]}"
-    df.withColumn(PART, value).write.partitionBy(PART).parquet(f"{path}/{folder}")
+    if part is None:
+        df.write.parquet(f"{path}/{folder}/{PART}={WHOLE}")
+    else:
+        df.withColumn(PART, part).write.partitionBy(PART).parquet(f"{path}/{folder}")
 
     kept: dict[str, list[str]] = {}
     if current is not None and replace is not None:
@@ -91,3 +93,26 @@ def commit(
     body = {"version": version, "schema": df.schema.jsonValue(), "parts": kept}
     files.create_text(spark, f"{path}/{MANIFESTS}/{version:010d}.json", json.dumps(body))
     return version
+
+
+def drop_unused(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete what the newest ``keep`` manifests do not refer to; returns the deleted folders.
+
+    Folders of a version that is not published yet are left alone: someone may be writing them.
+    """
+    numbers = _manifest_numbers(spark, path)
+    kept = numbers[-max(keep, 1):]
+    used: set[str] = set()
+    for number in kept:
+        body = json.loads(files.read_text(spark, f"{path}/{MANIFESTS}/{number:010d}.json"))
+        used |= {folder.split("/")[0] for found in body["parts"].values() for folder in found}
+    dropped = []
+    for name in files.list_names(spark, path):
+        if not name.startswith(f"{VERSION}=") or name in used:
+            continue
+        if numbers and int(name[len(VERSION) + 1 :].split("-")[0]) <= numbers[-1]:
+            files.delete(spark, f"{path}/{name}")
+            dropped.append(name)
+    for number in numbers[: -len(kept)] if kept else []:
+        files.delete(spark, f"{path}/{MANIFESTS}/{number:010d}.json")
+    return dropped

@@ -53,7 +53,7 @@ def check_invariants(df):
 def test_sequence_as_a_function(frame):
     history = None
     for number, (as_of, current) in enumerate(RUNS, 1):
-        history = snapshot_check(history, frame(current, SCHEMA), "k", ["v"], as_of)
+        history = snapshot_check(history, frame(current, SCHEMA), "k", ["v"], as_of).checkpoint()
         assert as_set(history) == set(HISTORY[number]), number
         check_invariants(history)
     kept = snapshot_check(history, frame(RUNS[4][1][:3], SCHEMA), "k", ["v"], day(5), invalidate_hard_deletes=False)

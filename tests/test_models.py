@@ -134,6 +134,22 @@ def test_namespaces_and_kinds(spark, frame):
     assert rows(spark.table("testing.kept")) == [(1,)]
 
 
+def test_tables_with_the_same_buckets_join_without_a_shuffle(spark):
+    w = Warehouse(SourceTables(spark, SF_DIR))
+    orders, items = (
+        materialize(w[name], name, "table", "bucketed", bucket_by=(4, "order_id"))
+        for name in ("stg_orders", "stg_order_items")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = items.join(orders, "order_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == items.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_logical_source_names():
     assert cleaning.physical_name("product_category_name") == "product_category_name_translation"
     assert cleaning.physical_name("orders") == "orders"

@@ -129,3 +129,24 @@ def test_small_batch_leaves_the_target_unshuffled(spark):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert merged.count() == 1010
+
+
+def test_old_versions_can_be_dropped(spark, frame):
+    path, part = scratch_dir(spark, "t"), F.col("a")
+    upsert_table(spark, path, frame([(1, "x", "p"), (2, "y", "q")], SCHEMA), "k", part)
+    for n in range(3):
+        upsert_table(spark, path, frame([(1, "x", str(n))], SCHEMA), "k", part)
+    with pytest.raises(Exception, match="repeated key"):
+        upsert_table(spark, path, frame([(5, "x", "b"), (5, "x", "d")], SCHEMA), "k", part)
+    expected = [(1, "x", "2"), (2, "y", "q")]
+    dropped = tables.drop_unused(spark, path, keep=1)
+    # Version 1 still holds partition y; version 5 was never published.
+    assert sorted(name.split("-")[0] for name in dropped) == ["_version=2", "_version=3"]
+    assert rows(tables.read_table(spark, path)) == expected
+    assert upsert_table(spark, path, frame([(3, "y", "n")], SCHEMA), "k", part) == 5
+    assert rows(tables.read_table(spark, path)) == [*expected, (3, "y", "n")]
+
+
+def test_reserved_names_raise(spark, frame):
+    with pytest.raises(ValueError, match="reserved"):
+        upsert_table(spark, scratch_dir(spark, "t"), frame([(1, "a")], "k int, _part string"), "k")
