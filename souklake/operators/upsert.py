@@ -60,18 +60,22 @@ def upsert_table(
     keys: str | list[str],
     part: Column | None = None,
     dedupe_by: str | None = None,
+    batch_rows: int | None = None,
 ) -> int:
     """Upsert onto a versioned table and return its new version; 0 when the batch is empty.
 
+    ``batch_rows`` spares counting a batch whose size is known, such as one just landed.
+
     With a partition expression only the partitions are rewritten that the batch falls into, or in
     which its keys live now (a row may move). That costs one scan of the key columns instead of a
     rewrite of the whole table. The expression must need no column that the batch lacks.
     """
     keys = key_columns(keys)
-    count = batch.count()
-    if count == 0:
+    if batch_rows is None:
+        batch_rows = batch.count()
+    if batch_rows == 0:
         return 0
-    small = count <= BROADCAST_ROWS
+    small = batch_rows <= BROADCAST_ROWS
     rows = rows_by_key(batch, keys, "upsert batch", dedupe_by)
     if tables.manifest(spark, path) is None:
         return tables.commit(spark, path, _by_part(rows, part), part)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -153,7 +155,7 @@ def physical_name(logical: str) -> str:
     return SOURCE_IDENTIFIERS.get(logical, logical)
 
 
-def clean(sources: dict[str, DataFrame], model: str) -> DataFrame:
+def clean(sources: Mapping[str, DataFrame], model: str) -> DataFrame:
     """Run one cleaning model over a dictionary of physical source tables."""
     logical, fn = MODELS[model]
     return fn(sources[physical_name(logical)])

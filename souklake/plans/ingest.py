@@ -66,7 +66,15 @@ def landing_root(root: str) -> str:
     return f"{root.rstrip('/')}/landing"
 
 
-def load_landed(spark: SparkSession, spec: TableSpec, ds: str | date, root: str, schema, incremental: bool) -> int:
+def load_landed(
+    spark: SparkSession,
+    spec: TableSpec,
+    ds: str | date,
+    root: str,
+    schema,
+    incremental: bool,
+    batch_rows: int | None = None,
+) -> int:
     """Upsert one landed batch; returns the new table version, 0 when there is nothing to load."""
     batch = landing.read_landed(
         spark, landing_root(root), spec.source, spec.landing_name, ds, schema, incremental, spec.fmt
@@ -76,7 +84,7 @@ def load_landed(spark: SparkSession, spec: TableSpec, ds: str | date, root: str,
     if spec.source == "api":
         batch = flatten_structs(batch)
     part = tables.month_of(spec.month_of) if spec.month_of else None
-    return upsert_table(spark, staging_path(root, spec.name), batch, list(spec.keys), part)
+    return upsert_table(spark, staging_path(root, spec.name), batch, list(spec.keys), part, batch_rows=batch_rows)
 
 
 def ingest_table(
@@ -99,7 +107,9 @@ def ingest_table(
         batch = normalize_newlines(df)
     label = landing.batch_label(spec.source, ds)
     rows = landing.land(batch, landing_root(root), spec.source, spec.landing_name, label, spec.fmt)
-    load_landed(spark, spec, ds, root, batch.schema, incremental or spec.source != "db")
+    windowed = incremental or spec.source != "db"
+    # A full load may find an undated batch of another size, and an empty run an earlier batch.
+    load_landed(spark, spec, ds, root, batch.schema, windowed, rows if windowed and rows else None)
     return rows
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from souklake.plans import cleaning, dimensions, facts
+from souklake.session import fit_shuffles
 from souklake.sources import tables
 
 MARTS = (
@@ -26,7 +29,7 @@ class Warehouse:
     stored table instead of repeating its joins.
     """
 
-    def __init__(self, sources: dict[str, DataFrame]):
+    def __init__(self, sources: Mapping[str, DataFrame]):
         self.sources = sources
         self._models: dict[str, DataFrame] = {}
 
@@ -59,7 +62,7 @@ class Warehouse:
         return build(*[self[i] for i in inputs])
 
 
-def build_warehouse(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_warehouse(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All eight marts as lazy DataFrames."""
     warehouse = Warehouse(sources)
     return {name: warehouse[name] for name in MARTS}
@@ -106,11 +109,14 @@ def materialize(
     return spark.table(f"`{space}`.`{name}`")
 
 
-def store_warehouse(sources: dict[str, DataFrame], root: str, namespace: str = "warehouse") -> dict[str, DataFrame]:
+def store_warehouse(sources: Mapping[str, DataFrame], root: str, namespace: str = "warehouse") -> dict[str, DataFrame]:
     """Build and store all marts in order; each later mart reads the stored earlier ones."""
     warehouse = Warehouse(sources)
     for model in cleaning.MODELS:
         warehouse.put(model, materialize(warehouse[model], model, "view", namespace))
+    spark = warehouse["stg_order_items"].sparkSession
+    # The widest shuffle brings items and orders together.
+    fit_shuffles(spark, warehouse["stg_order_items"], warehouse["stg_orders"])
     for mart in MARTS:
         warehouse.put(mart, materialize(warehouse[mart], mart, "table", namespace, root=root))
     return {mart: warehouse[mart] for mart in MARTS}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
 
@@ -25,6 +25,28 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# A shuffle partition should stay well inside one task's memory; beyond MAX_PARTITIONS the
+# bookkeeping of a shuffle costs more than larger, spilling partitions do.
+PARTITION_BYTES = 256 * 1024**2
+ROW_EXPANSION = 3
+MAX_PARTITIONS = 100_000
+
+
+def fit_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Raise the number of shuffle partitions to what the inputs need; never lower it.
+
+    Sizes are the optimizer's, so stored tables count with their file sizes and nothing is read.
+    Columnar files unfold to some ROW_EXPANSION times their size as shuffled rows. Adaptive execution
+    merges what turns out too small.
+    """
+    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    wanted = min(size * ROW_EXPANSION // PARTITION_BYTES + 1, MAX_PARTITIONS)
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, now)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the session's ``spark.checkpoint.dir``."""
     root = spark.conf.get(SCRATCH_SETTING, None)

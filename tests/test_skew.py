@@ -109,3 +109,16 @@ def test_one_order_with_a_third_of_all_items(spark):
     assert [r.n for r in hot] == list(range(1, 1001))
     assert [(r.o, r.id) for r in hot] == sorted((r.o, r.id) for r in hot)
     assert got.count() == 3_000 and got.where("g <> '0' and n <> 1").isEmpty()
+
+
+def test_shuffles_grow_with_the_input_and_never_shrink(spark, monkeypatch):
+    import souklake.session as session
+
+    big = spark.range(0, 1_000_000)
+    with settings(spark, spark__sql__shuffle__partitions="4"):
+        assert session.fit_shuffles(spark, big) == 4
+        monkeypatch.setattr(session, "PARTITION_BYTES", 1024**2)
+        assert session.fit_shuffles(spark, big, big) == 46
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "46"
+        monkeypatch.setattr(session, "MAX_PARTITIONS", 50)
+        assert session.fit_shuffles(spark, *[big] * 9) == 50
