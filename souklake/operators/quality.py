@@ -43,44 +43,46 @@ class TestSpec:
     test: str
 
 
-def count_failures(df: DataFrame, table: str, specs: list[TestSpec]) -> DataFrame:
-    """Failures of all tests of one table, from one scan.
+def _tested_values(df: DataFrame, table: str, specs: list[TestSpec]) -> DataFrame:
+    """One (table, column, value) row per row and tested column of one table.
 
-    Each row turns into one (column, value) pair per tested column. A column that is only tested for
-    nulls contributes a constant instead of its values, so its pairs collapse before the shuffle;
-    so do repeated values and nulls of the other columns.
+    A column that is only tested for nulls contributes a constant instead of its values.
     """
-    unique = {s.column for s in specs if s.test == "unique"}
-    columns = list(dict.fromkeys(s.column for s in specs))
     unsupported = {s.test for s in specs} - {"unique", "not_null"}
     if unsupported:
         raise ValueError(f"no such test: {', '.join(sorted(unsupported))}")
+    unique = {s.column for s in specs if s.test == "unique"}
     pairs = [
         F.struct(
             F.lit(c).alias("column_name"),
             (F.col(c).cast("string") if c in unique else F.when(F.col(c).isNotNull(), "")).alias("value"),
         )
-        for c in columns
+        for c in dict.fromkeys(s.column for s in specs)
     ]
-    counted = (
-        df.select(F.explode(F.array(*pairs)).alias("pair"))
-        .groupBy("pair.column_name", "pair.value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    repeated = F.col("value").isNotNull() & (F.col("n") > 1)
-    totals = counted.groupBy("column_name").agg(
-        F.sum(F.when(repeated, 1).otherwise(0)).alias("unique"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("not_null"),
-    )
-    return totals.select(F.lit(table).alias("table_name"), "column_name", "unique", "not_null")
+    return df.select(F.lit(table).alias("table_name"), F.inline(F.array(*pairs)))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """Union in pairs: each step analyses its whole input, so a chain would cost the square."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def run_suite(tables: Mapping[str, DataFrame], specs: list[TestSpec]) -> DataFrame:
-    """One row per declared test: table, column, test, number of failures (0 for an empty table)."""
+    """One row per declared test: table, column, test, number of failures (0 for an empty table).
+
+    All tests of all tables together take one scan of each table and one shuffle of distinct values.
+    Repeated values, nulls and the constants of null-tested columns collapse before it.
+    """
     names = list(dict.fromkeys(s.table for s in specs))
-    totals = reduce(
-        DataFrame.unionByName,
-        [count_failures(tables[name], name, [s for s in specs if s.table == name]) for name in names],
+    values = _union([_tested_values(tables[name], name, [s for s in specs if s.table == name]) for name in names])
+    counted = values.groupBy("table_name", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    missing = F.col("value").isNull()
+    totals = counted.groupBy("table_name", "column_name").agg(
+        F.sum(F.when(~missing & (F.col("n") > 1), 1).otherwise(0)).alias("unique"),
+        F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("not_null"),
     )
     declared = totals.sparkSession.createDataFrame(
         [(s.table, s.column, s.test) for s in specs], "table_name string, column_name string, test string"

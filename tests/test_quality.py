@@ -8,7 +8,6 @@ from souklake.operators.quality import (
     check_not_null,
     check_relationships,
     check_unique,
-    count_failures,
     run_suite,
 )
 from souklake.plans.declared_tests import SPECS
@@ -48,16 +47,17 @@ def test_suite_counts_like_the_single_checks(frame):
 
 def test_unknown_tests_raise(frame):
     with pytest.raises(ValueError, match="no such test: positive"):
-        count_failures(frame(DATA, SCHEMA), "t", [TestSpec("t", "n", "positive")])
+        run_suite({"t": frame(DATA, SCHEMA)}, [TestSpec("t", "n", "positive")])
 
 
-def test_columns_tested_for_nulls_only_collapse_before_the_shuffle(spark):
-    df = spark.range(0, 10_000, 1, 4).selectExpr("id as a", "id as b")
-    specs = [TestSpec("t", "a", "not_null"), TestSpec("t", "b", "not_null")]
-    totals = count_failures(df, "t", specs)
-    assert rows(totals, "column_name", "not_null") == [("a", 0), ("b", 0)]
-    plan = totals._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Range") == 1
+def test_one_scan_per_table_and_one_shuffle_of_values(spark):
+    tables = {name: spark.range(0, 10_000, 1, 4).selectExpr("id as a", "id as b") for name in "tuv"}
+    specs = [TestSpec(t, c, "not_null") for t in tables for c in "ab"] + [TestSpec("t", "a", "unique")]
+    result = run_suite(tables, specs)
+    assert result.where("failures > 0").isEmpty() and result.count() == 7
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 3
+    assert plan.count("Exchange hashpartitioning") == 2
 
 
 def test_declared_tests():
