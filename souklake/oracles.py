@@ -293,7 +293,8 @@ RELATIONS["orders_2000"] = orders_as_of("2000-01-01 00:00:00")
 
 def upserted(target: str, batch: str, *keys: str) -> str:
     same = " and ".join(f"b.{k} = t.{k}" for k in keys)
-    return f"select * from {target} t where not exists (select 1 from {batch} b where {same}) union all by name select * from {batch}"
+    kept = f"select * from {target} t where not exists (select 1 from {batch} b where {same})"
+    return f"{kept} union all by name select * from {batch}"
 
 
 def snapshot_first(rows: str, by: str, as_of: str) -> str:

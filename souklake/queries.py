@@ -436,7 +436,6 @@ def snap_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     zip_code, unique_id, state = (
         F.col("customer_zip_code_prefix"), F.col("customer_unique_id"), F.col("customer_state")
     )
-    # Plain concat of a null zip is null in Spark; the moved zip codes start with a 9 where known.
     moved = F.when(state == " as ", F.concat(F.lit("9"), F.coalesce(zip_code, F.lit("")))).otherwise(zip_code)
     after = customers.where("customer_city is not null").withColumns(
         {
