@@ -6,7 +6,8 @@ import pytest
 from check_oracles import compare, duck
 from conftest import SF_DIR
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from souklake.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,9 +15,9 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_oracle(spark, con, name):
-    verdict = compare(spark, con, name, queries()[name], oracle_sql()[name], SF_DIR)
+    verdict = compare(spark, con, name, QUERIES[name], ORACLES[name], SF_DIR)
     assert verdict.startswith("ok"), verdict
 
 
