@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souklake.llm import lines, mixing, shards
+from souklake.llm import decontaminate, lines, mixing, quality, shards
 from souklake.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,53 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+DECONTAMINATION_SQL = r"""
+with doc_words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+item_words as (
+  select item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (
+  select distinct item_id, least(13, len(w)) as n, w[i:i + least(13, len(w)) - 1] as words
+  from (select *, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i from item_words where len(w) > 0)),
+lengths as (select distinct n from windows),
+doc_windows as (
+  select doc_id, n, i, w[i:i + n - 1] as words
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from doc_words, lengths where len(w) >= n)),
+hits as (select doc_id, i, n, item_id from doc_windows join windows using (n, words)),
+hit_words as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
+hit_items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc_words left join hit_words using (doc_id) left join hit_items using (doc_id)"""
+
+
+@register("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cutoffs come from exact binomial tails, which SQL cannot express at a bearable length."""
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept", "rejected_by")
+
+
+@register("op5_decontamination", DECONTAMINATION_SQL)
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
