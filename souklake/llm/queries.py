@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souklake.llm import decontaminate, lines, mixing, quality, shards
+from souklake.llm import chat, decontaminate, lines, mixing, quality, shards, urls
 from souklake.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,69 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+CHAT_SQL = f"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}')),
+escaped as (
+  select *, regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g') as written from rows)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(length('<|im_start|>') + length(role) + 1 + length(written) + length('<|im_end|>') + 1) as bigint)
+    as formatted_chars
+from escaped group by conv_id"""
+
+
+@register("op4_chat_format", CHAT_SQL)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], given.schema)
+    formatted = chat.format_log(chat.messages_as_log(given.union(extra)))
+    turns = chat.read_back(formatted)
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    trained = F.array_compact(F.transform("turns", lambda t: t["trained"]))
+    return turns.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.char_length(F.array_join(trained, "")).cast("long").alias("loss_chars"),
+        F.sha2(F.array_join(trained, ""), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+URL_RULES = [
+    ("org", "/", urls.ALLOW),
+    ("example.org", "/es/", urls.BLOCK),
+    ("example.org", "/en/1", urls.BLOCK),
+    ("com", "/fr/", urls.ALLOW),
+    ("com", "/de/", urls.BLOCK),
+]
+
+URL_SQL = r"""
+with rules(rule_host, rule_path, verdict) as (
+  values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+split_urls as (
+  select page_id, url,
+    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') as path
+  from pages)
+select p.page_id, p.host, p.path, arg_max(r.rule_host || r.rule_path, length(r.rule_host || r.rule_path)) as rule,
+  coalesce(arg_max(r.verdict, length(r.rule_host || r.rule_path)), 'allow') as verdict
+from split_urls p left join rules r
+  on (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path)
+group by p.page_id, p.url, p.host, p.path"""
+
+
+@register("op6_url_filter", URL_SQL)
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
