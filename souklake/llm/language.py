@@ -107,15 +107,15 @@ class Parser:
         for stream in streams:
             codes = self.code[stream]
             moves = suffix_automaton(codes[codes != _UNKNOWN].tolist())
-            table = np.full((len(moves), width), -1, dtype=np.int64)
+            table = np.full((len(moves), width), -1, dtype=np.int32)
             for state, out in enumerate(moves):
                 table[state, list(out)] = list(out.values())
             first = np.where(table[0] >= 0, table[0], 0)
             begins = table < 0
-            table = np.where(begins, first[None, :], table) + base
-            step = (table * width) * 2 + begins
-            step[:, _PAD] = (np.arange(len(moves)) + base) * width * 2  # padding neither moves nor counts
-            tables.append(step.astype(np.int64))
+            # 32 bits hold a step: the sample bounds the states.
+            step = (np.where(begins, first[None, :], table) + np.int32(base)) * np.int32(2 * width) + begins
+            step[:, _PAD] = (np.arange(len(moves)) + base) * (2 * width)  # padding neither moves nor counts
+            tables.append(step.astype(np.int32))
             self.starts.append(base * width)
             self.costs.append(math.log2(len(codes) + 2))
             base += len(moves)
@@ -126,7 +126,7 @@ class Parser:
         state = np.tile(np.array(self.starts, dtype=np.int64), (len(blocks), 1))
         count = np.ones(state.shape, dtype=np.int64)
         for column in np.ascontiguousarray(blocks.T).astype(np.int64):
-            step = self.steps[state + column[:, None]]
+            step = self.steps[state + column[:, None]].astype(np.int64)
             count += step & 1
             state = step >> 1
         return count
@@ -163,22 +163,15 @@ def draw_sample(
     One row is drawn per language and hash slot, found by an aggregate that is combined before its shuffle, so
     a language that has most rows costs no more than the others.
     """
-    usable = labelled.where(
-        F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & (F.char_length(text) <= longest)
-    )
-    draw = F.xxhash64(F.col(doc_id).cast("string"), F.xxhash64(text))
-    slots = usable.groupBy(F.col(lang).alias("_lang"), F.pmod(draw, F.lit(rows)).alias("_slot")).agg(
-        F.min(draw).alias("_draw")
-    )
+    rows_of = labelled.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    usable = rows_of.where(
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.char_length("text") <= longest)
+    ).withColumn("draw", F.xxhash64(F.col("id").cast("string"), "text"))
+    slots = usable.groupBy("lang", F.pmod("draw", F.lit(rows)).alias("slot")).agg(F.min("draw").alias("draw"))
     # One row per language and slot.
-    drawn = (
-        usable.withColumn("_draw", draw)
-        .join(F.broadcast(slots), (F.col("_lang") == F.col(lang)) & (F.col("_draw") == slots["_draw"]), "left_semi")
-        .select(F.col(lang).alias("lang"), F.col(text).alias("text"), "_draw")
-        .dropDuplicates(["lang", "_draw"])
-        .collect()
-    )
-    drawn.sort(key=lambda row: (row["lang"], row["_draw"]))
+    wanted = F.broadcast(slots.select("lang", "draw"))
+    drawn = usable.join(wanted, ["lang", "draw"], "left_semi").dropDuplicates(["lang", "draw"]).collect()
+    drawn.sort(key=lambda row: (row["lang"], row["draw"]))
     languages = {row["lang"] for row in drawn}
     texts: dict[str, list[str]] = {}
     for language in languages:

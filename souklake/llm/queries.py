@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souklake.llm import chat, decontaminate, lines, mixing, quality, shards, urls
+from souklake.llm import chat, decontaminate, language, lines, mixing, quality, secrets, shards, urls
 from souklake.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,3 +189,30 @@ group by p.page_id, p.url, p.host, p.path"""
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    sample = language.draw_sample(docs.where(~held_out & F.col("doc_id").isNotNull()))
+    return language.predict(docs, sample).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register("op10_secrets")
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(parts, ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
