@@ -5,30 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from souklake.llm import mixing, shards
+from souklake.llm import decontaminate, jaccard, mixing, quality, shards
 from souklake.llm.common import store
 from souklake.session import tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar documents stays, the one with the smallest id."""
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated with benchmark passages go."""
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
     return mixing.take(docs)
 
 
-def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each row goes: shard and slot."""
-    return shards.assign_shards(docs, 8)
+    return shards.assign_shards(docs, 8).withColumn("shard", F.col("shard").cast("int"))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("jaccard_join", jaccard_join),
+    ("decontamination", decontamination),
     ("mix_sources", mix_sources),
-    ("shard", shard),
+    ("sharding", sharding),
 ]
 
-# Hash thresholds and differencing have no equal in SQL.
+# Binomial bounds, links by similarity, hash thresholds and differencing have no equal in SQL.
 ORACLE_SQL = None
 
 

@@ -229,3 +229,28 @@ def judge(
         .otherwise(F.col("rejected_by"))
         .alias("rejected_by"),
     )
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang", **settings
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with unchanged columns.
+
+    The cutoffs are found as in ``judge``; the rows are then judged in a second pass over the texts, so no
+    text is shuffled.
+    """
+    rules = settings.get("rules", RULES)
+    measured = store(
+        measure(docs.select(F.col(doc_id).alias("doc_id"), F.col(stratum).alias("stratum"), text), text).drop(text),
+        "quality-measures",
+    )
+    marks = labels.select(F.col(doc_id).alias("doc_id"), "quality")
+    cutoffs = store(choose_cutoffs(measured, marks, "doc_id", "stratum", **settings).drop("n"), "quality-cutoffs")
+    if cutoffs.count() <= BROADCAST_STRATA:
+        cutoffs = F.broadcast(cutoffs)
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"), F.col(stratum).alias("_own"))
+    again = measure(packed, "_text").join(cutoffs, F.col("_own").eqNullSafe(F.col("_stratum")), "left")
+    rejected = F.lit(False)
+    for rule in rules:
+        rejected = rejected | F.coalesce(rule.rejects(F.col(rule.name)), F.lit(False))
+    return again.where(~base_failed() & ~rejected).select("_row.*")

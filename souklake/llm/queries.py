@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souklake.llm import chat, decontaminate, language, lines, mixing, quality, secrets, shards, urls
+from souklake.llm import chat, decontaminate, jaccard, language, lines, mixing, quality, secrets, shards, urls
 from souklake.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,3 +216,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@register("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components need iteration over links that SQL can only find by comparing pairs."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
