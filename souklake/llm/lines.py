@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from souklake.llm.common import BLANKS, lower_ascii, store, whole
 
@@ -93,7 +94,7 @@ def _stream_runs(min_docs: int):
     return run
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _bitmap(n_lines: pd.Series, dropped: pd.Series) -> pd.Series:
     def one(n: int, lines) -> bytes:
         keep = np.ones(n, dtype=bool)
@@ -103,7 +104,7 @@ def _bitmap(n_lines: pd.Series, dropped: pd.Series) -> pd.Series:
     return pd.Series([one(n, lines) for n, lines in zip(n_lines, dropped)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _kept(text: pd.Series, bitmap: pd.Series) -> pd.Series:
     def one(body: str, packed: bytes) -> str:
         keep = np.unpackbits(np.frombuffer(zlib.decompress(packed), dtype=np.uint8))

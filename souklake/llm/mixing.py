@@ -139,8 +139,9 @@ def mix(docs: DataFrame, weights=cyclic_weights, doc_id="doc_id", source="source
     )
 
 
-def take(docs: DataFrame, **columns: str) -> DataFrame:
+def take(docs: DataFrame, weights=cyclic_weights, doc_id="doc_id", source="source", text="text") -> DataFrame:
     """The mixture itself: each row of ``docs`` as often as it is taken, with the columns of ``docs``."""
-    mixed = mix(docs, **columns)
-    times = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")
-    return mixed.where("copies > 0").select(*docs.columns, times).drop("_copy")
+    names = {"_id": doc_id, "_from": source, "_text": text}
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), *(F.col(c).alias(n) for n, c in names.items()))
+    mixed = mix(packed, weights, "_id", "_from", "_text").where("copies > 0")
+    return mixed.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*")
