@@ -1,0 +1,109 @@
+"""Quality rules against plain loops and exact binomial sums."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm_frames import documents  # noqa: F401
+from pyspark.sql import functions as F
+
+from souklake.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counts_of(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered))
+
+
+def random_text(rng):
+    words = ["a", "bb", "ünï", "x|y", "##", "😀", "The"]
+    gaps = [" ", "  ", "\n", "\t", "\n\n", "\x0b", "\xa0"]
+    return "".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randrange(0, 60)))
+
+
+def test_measures_equal_plain_loops(documents):
+    rng = random.Random(5)
+    texts = [random_text(rng) for _ in range(300)]
+    texts += [None, "", " \n ", "a", "a a", "a a a", "a a a a", "a a a a a", "x\nx\nx", "w " * 20_000]
+    rows = list(enumerate(texts))
+    measured = quality.measure(documents(rows)).collect()
+    for row in measured:
+        told = (row["n_words"], row["word_chars"], row["n_symbols"], row["n_dup_lines"], row["n_repeat_words"])
+        assert told == counts_of(texts[row["doc_id"]]), texts[row["doc_id"]]
+
+
+@pytest.mark.parametrize(("n", "p"), [(0, 0.1), (1, 0.5), (60, 0.05), (500, 0.01), (4000, 0.005)])
+def test_binomial_tail_is_exact(spark, n, p):
+    ks = sorted({0, 1, 2, int(n * p), max(0, int(n * p) - 1)} & set(range(n + 1)))
+    df = spark.createDataFrame([(k, n) for k in ks], "k long, n long")
+    for row in df.withColumn("tail", quality.binomial_tail(F.col("k"), F.col("n"), p)).collect():
+        exact = sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(row["k"] + 1))
+        if n and row["k"] < n * p:
+            assert row["tail"] == pytest.approx(exact, rel=1e-9)
+        else:
+            assert row["tail"] == 1.0
+
+
+def plain(i, junk=""):
+    return " ".join(f"word{i}x{k}{junk}" for k in range(60))
+
+
+def test_only_proven_and_paying_cutoffs_reject(spark, documents):
+    rows = [(i, plain(i), "en", "a") for i in range(1500)]
+    rows += [(2000 + i, plain(i, "***"), "en", "a") for i in range(30)]
+    rows += [(3000 + i, plain(i, "***"), "de", "a") for i in range(5)]
+    rows += [(4000, plain(1, "***"), None, "a"), (4001, None, "en", "a"), (4002, "short", "en", "a")]
+    labels = [(i, 1) for i in range(1500)] + [(2000 + i, 0) for i in range(20)] + [(3000, 1), (9999, 1)]
+    judged = quality.judge(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    kept = {row["doc_id"]: (row["base_failed"], row["kept"]) for row in judged.collect()}
+    assert all(kept[i] == (False, True) for i in range(1500))
+    assert all(kept[2000 + i] == (False, False) for i in range(30))
+    # Too few labels in German, and none without a language: nothing is proven there.
+    assert all(kept[3000 + i] == (False, True) for i in range(5)) and kept[4000] == (False, True)
+    assert kept[4001] == kept[4002] == (True, False)
+
+
+def test_false_rejections_stay_within_the_risk(spark, documents):
+    """A rule that bad documents trip often, and a few per cent of good ones too, must not be used."""
+    rows = [(i, plain(i, "*" if i % 25 == 0 else ""), "en", "a") for i in range(1500)]
+    rows += [(2000 + i, plain(i, "*"), "en", "a") for i in range(400)]
+    labels = [(i, 1) for i in range(1500)] + [(2000 + i, 0) for i in range(400)]
+    labels_df = spark.createDataFrame(labels, "doc_id long, quality int")
+    judged = quality.judge(documents(rows), labels_df)
+    assert judged.where(~F.col("kept")).count() == 0
+
+
+def test_contradicting_and_repeated_labels_and_empty_tables(spark, documents):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.judge(documents([]), none).count() == 0
+    odd = spark.createDataFrame([(1, 1), (1, 0), (1, None), (None, 1), (2, None)], "doc_id long, quality int")
+    judged = quality.judge(documents([(1, plain(1)), (1, plain(1)), (None, plain(2)), (2, "")]), odd).collect()
+    assert sorted(row["kept"] for row in judged) == [False, True, True, True]
+
+
+def test_keeping_good_rows_agrees_with_judging(spark, documents):
+    rows = [(i, plain(i), "en", "a") for i in range(1500)] + [(2000 + i, plain(i, "|"), "en", "a") for i in range(30)]
+    rows += [(5000, None, "en", "a"), (5001, plain(1), "fr", "a")]
+    docs = documents(rows).withColumn("n_words", F.lit("clash"))
+    labels = spark.createDataFrame(
+        [(i, 1) for i in range(1500)] + [(2000 + i, 0) for i in range(30)], "doc_id long, quality int"
+    )
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    judged = quality.judge(docs, labels).where("kept").select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in judged)
+    assert len(judged) == 1501
