@@ -127,7 +127,7 @@ class Allocation:
             taken.append(whole[order[:need]])
             if len(start) < need:
                 single = np.lexsort((values, ~rare))[:need]
-                taken.append(_mix(values[single] ^ _U(0xA0761D6478BD642F) * _U(band + 1)))
+                taken.append(_mix(values[single] ^ _U(0xA0761D6478BD642F * (band + 1) % (1 << 64))))
         return np.concatenate(taken)
 
 

@@ -1,0 +1,188 @@
+"""The similarity join against all pairs, and components against a plain union."""
+
+from __future__ import annotations
+
+import random
+import string
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from llm_frames import documents  # noqa: F401
+from pyspark.sql import functions as F
+
+from souklake.llm import jaccard
+from souklake.llm.components import connected_components
+
+FOLD = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def shingles(text, size=5):
+    words = [w for w in (text or "").translate(FOLD).replace("\xa0", "\0").split(None) if w]
+    words = [w for w in words]
+    if not words:
+        return frozenset()
+    n = min(size, len(words))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+
+
+def union_find(nodes, pairs):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def expected(rows, num=75, den=100):
+    sets = {doc: shingles(text) for doc, text in rows}
+    ids = sorted(sets)
+    links = [
+        (a, b)
+        for i, a in enumerate(ids)
+        for b in ids[i + 1 :]
+        if sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b])
+    ]
+    component = union_find(ids, links)
+    return sorted((doc, len(sets[doc]), component[doc]) for doc, _ in rows)
+
+
+def got(df, **settings):
+    return sorted(tuple(r) for r in jaccard.near_duplicates(df, **settings).collect())
+
+
+def mutate(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        at = rng.randrange(len(words))
+        words[at : at + rng.randrange(2)] = [f"m{rng.random()}"] if rng.random() < 0.7 else []
+    return words
+
+
+def corpus(rng, groups=12):
+    """Copies near and far from the limit, a passage in many documents, short texts, and documents on their own."""
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for _ in range(groups):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 7, 9, 12, 20, 40, 80, 150, 300]))]
+        for _ in range(rng.randrange(1, 9)):
+            rows.append(" ".join(mutate(rng, base, rng.randrange(0, 1 + len(base) // 12))))
+    for _ in range(40):
+        own = [f"o{rng.random()}" for _ in range(rng.choice([5, 12, 20, 60]))]
+        rows.append(" ".join(own[: len(own) // 2] + passage + own[len(own) // 2 :]))
+    rows += [r.upper() for r in rows[:5]] + rows[:5]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_equal_all_pairs(documents, seed):
+    rows = corpus(random.Random(seed))
+    assert got(documents(rows)) == expected(rows)
+
+
+def test_frequent_shingles_change_the_plan_but_not_the_result(documents, monkeypatch):
+    """With every shared shingle called frequent, sets fall back on deletions and expensive signatures."""
+    rows = corpus(random.Random(4))
+    monkeypatch.setattr(jaccard, "FREQUENT_LEAST", 2)
+    monkeypatch.setattr(jaccard, "FREQUENT_SHARE", 0.0)
+    assert got(documents(rows)) == expected(rows)
+
+
+def test_star_rounds_find_what_all_pairs_find(documents, monkeypatch):
+    """A long chain of similar texts in one large group, and no early turn to all pairs."""
+    rng = random.Random(5)
+    words = [f"c{i}" for i in range(120)]
+    rows = []
+    for i in range(60):
+        rows.append((i, " ".join(words)))
+        for _ in range(3):
+            words[rng.randrange(120)] = f"x{rng.random()}"
+    rows += [(100 + i, " ".join(mutate(rng, [f"t{k}" for k in range(100)], 3))) for i in range(60)]
+    monkeypatch.setattr(jaccard, "OPEN_PAIRS", 0)
+    assert got(documents(rows)) == expected(rows)
+
+
+@pytest.mark.parametrize("threshold", [(1, 2), (9, 10), (1, 1)])
+def test_other_thresholds(documents, threshold):
+    rows = corpus(random.Random(6), groups=8)
+    assert got(documents(rows), threshold=threshold) == expected(rows, *threshold)
+
+
+def test_similar_sets_always_share_a_signature():
+    """The pigeonhole itself, set by set, for rare and for frequent shingles, right at the limit."""
+    rng = random.Random(7)
+    mask = (1 << jaccard.SKETCH_BITS) - 1
+    for trial in range(600):
+        n = rng.choice([1, 2, 3, 4, 5, 7, 8, 15, 16, 17, 33, 64, 100, 257])
+        base = [rng.getrandbits(64) for _ in range(n)]
+        keep = rng.randrange(max(1, n * 3 // 4), n + 1)
+        other = base[:keep] + [rng.getrandbits(64) for _ in range(rng.randrange(0, n // 3 + 1))]
+        a, b = (np.unique(np.array(x, dtype=np.uint64)) for x in (base, other))
+        common = len(np.intersect1d(a, b))
+        if 100 * common < 75 * (len(a) + len(b) - common):
+            continue
+        bits = np.zeros(mask + 1, dtype=bool)
+        share = rng.choice([0, 0.3, 0.6, 0.8, 1])
+        for item in {*base, *other}:
+            bits[item & mask] |= rng.random() < share
+        allocation = jaccard.Allocation((75, 100), np.packbits(bits).tobytes())
+        shared = np.intersect1d(allocation.signatures(a), allocation.signatures(b))
+        assert len(shared), (trial, len(a), len(b), common, share)
+
+
+def test_null_empty_and_repeated_rows(documents):
+    rows = [(5, None), (6, ""), (7, " \n"), (8, "a b"), (3, "A  B"), (9, "a b c"), (9, "a b c"), (4, "one two three four five six")]
+    want = [(3, 1, 3), (4, 2, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7), (8, 1, 3), (9, 1, 9), (9, 1, 9)]
+    assert got(documents(rows)) == want
+    assert got(documents([])) == []
+    assert got(documents([(1, None)])) == [(1, 0, 1)]
+    nameless = jaccard.near_duplicates(documents([(None, "a b"), (2, "a b"), (None, None)])).collect()
+    assert sorted((str(r[0]), r[1], str(r[2])) for r in nameless) == [("2", 1, "2"), ("None", 0, "None"), ("None", 1, "None")]
+
+
+def test_an_id_with_two_texts_belongs_to_both_groups(documents):
+    rows = [(2, "a b c d e"), (2, "v w x y z"), (1, "a b c d e"), (3, "v w x y z")]
+    assert got(documents(rows)) == [(1, 1, 1), (2, 1, 1), (2, 1, 2), (3, 1, 2)]
+
+
+def test_keeping_one_of_each_group(documents):
+    rows = [(5, "a b c d e f"), (5, "a b c d e f"), (2, "A b c d e f"), (8, None), (9, ""), (7, "other words"), (7, "other words"), (None, "a b c d e f")]
+    docs = documents(rows).withColumn("component_id", F.lit("x"))
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == [
+        ("2", "A b c d e f"), ("7", "other words"), ("8", None), ("9", ""), ("None", "a b c d e f")
+    ]
+
+
+def test_components_of_random_graphs_chains_and_stars(spark):
+    rng = random.Random(9)
+    pairs = [(rng.randrange(-200, 200), rng.randrange(-200, 200)) for _ in range(180)]
+    chain = list(range(1000, 1200))
+    rng.shuffle(chain)
+    pairs += list(zip(chain, chain[1:])) + [(5000, 5000 + i) for i in range(100)] + [(7, 7)]
+    answer = connected_components(spark.createDataFrame(pairs, "u long, v long")).collect()
+    linked = {n for a, b in pairs if a != b for n in (a, b)}
+    want = union_find({n for pair in pairs for n in pair}, pairs)
+    assert {r["node"]: r["component"] for r in answer} == {n: want[n] for n in linked}
+    assert len(answer) == len(linked)
+    assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_large_groups_of_copies_do_not_make_all_pairs(documents):
+    rng = random.Random(10)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base)) for i in range(400)] + [(400 + i, " ".join(mutate(rng, base, 1))) for i in range(200)]
+    answer = got(documents(rows))
+    by_component = defaultdict(int)
+    for _, _, component in answer:
+        by_component[component] += 1
+    assert by_component == {c: n for c, n in by_component.items()} and answer == expected(rows)
