@@ -5,17 +5,22 @@ from __future__ import annotations
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souklake.functions import surrogate_key
 from souklake.functions.columns import ntz_literal
-from souklake.operators.keys import key_columns, rows_by_key
+from souklake.operators.keys import content_hash, key_columns, rows_by_key
+from souklake.session import plan_bytes, tuned
 from souklake.sources import tables
 
 VALIDITY = ("valid_from", "valid_to", "updated_at", "scd_id")
 OPEN = "open"
 
+# Open rows are kept in parts by the hash of their key, of some PART_BYTES each; their number is fixed when a
+# history begins and stands in the names of its parts.
+LEAST_PARTS, PART_BYTES = 8, 512 * 1024**2
+
 
 def _opened(df: DataFrame, keys: list[str], moment) -> DataFrame:
     return df.select(
@@ -46,7 +51,8 @@ def next_open_and_closed(
     both = old.join(new, keys, "full_outer")
     gone, fresh = F.col("_new").isNull(), F.col("_old").isNull()
     same = reduce(lambda a, b: a & b, [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in check_cols])
-    closed = F.col("_old").withField("valid_to", moment).withField("updated_at", moment)
+    # Closing sets the end only; the update stamp keeps the time at which the row was opened.
+    closed = F.col("_old").withField("valid_to", moment)
 
     rows = (
         F.when(fresh, F.array("_new"))
@@ -78,15 +84,45 @@ def snapshot_table(
     spark: SparkSession, path: str, current: DataFrame, key: str | list[str], check_cols: list[str],
     as_of: str | date | datetime, invalidate_hard_deletes: bool = True,
 ) -> int:
-    """Run a snapshot onto a versioned table and return its new version.
+    """Run a snapshot onto a versioned table and return its version.
 
-    Open rows form one partition and closed rows one per month of closing. A run reads and rewrites
-    the open partition and adds what it closes; the closed past is neither read nor written.
+    Open rows lie in parts by the hash of their key and closed rows in one part per month of closing. A run
+    compares keys and hashes of the checked columns, fetches and rewrites only parts in which a key changed,
+    came or went, and adds what it closes; other parts are carried over, and the closed past is neither
+    read nor written. A run that finds nothing new leaves the version as it is. A run that was overtaken by
+    another writer starts again from the newer version.
     """
-    part = tables.month_of("valid_to", missing=OPEN)
-    opened = tables.read_table(spark, path, [OPEN])
-    if opened is None:
-        first = snapshot_check(None, current, key, check_cols, as_of, invalidate_hard_deletes)
-        return tables.commit(spark, path, first, part)
-    now = next_open_and_closed(opened, current, key, check_cols, as_of, invalidate_hard_deletes)
-    return tables.commit(spark, path, now, part, replace=[OPEN])
+    keys = key_columns(key)
+
+    def attempt() -> int:
+        base = tables.manifest(spark, path)
+        names = [name for name in base["parts"] if name.startswith(f"{OPEN}-")] if base else []
+        n = int(names[0].split("-")[1]) if names else max(LEAST_PARTS, plan_bytes(current) // PART_BYTES)
+        bucket = tables.bucket_of(keys, n, f"{OPEN}-{n}-")
+        part = F.when(F.col("valid_to").isNull(), bucket).otherwise(tables.month_of("valid_to"))
+        if base is None:
+            first = snapshot_check(None, current, keys, check_cols, as_of, invalidate_hard_deletes)
+            return tables.commit(spark, path, _by_part(first, part), part, base=None)
+
+        old = tables.read_table(spark, path, names, at=base).select(*keys, content_hash(check_cols).alias("_old"))
+        new = rows_by_key(current.select(*keys, *check_cols), keys, "snapshot source")
+        both = old.join(new.select(*keys, content_hash(check_cols).alias("_new")), keys, "full_outer")
+        differs = F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.col("_new"))
+        if not invalidate_hard_deletes:
+            differs = differs & F.col("_new").isNotNull()
+        # Part names only.
+        touched = sorted(row[0] for row in both.where(differs).select(bucket).distinct().collect())
+        if not touched:
+            return base["version"]
+        opened = tables.read_table(spark, path, [name for name in touched if name in base["parts"]], at=base)
+        arrived = current.where(bucket.isin(touched))
+        now = next_open_and_closed(opened, arrived, keys, check_cols, as_of, invalidate_hard_deletes)
+        return tables.commit(spark, path, _by_part(now, part), part, replace=touched, base=base)
+
+    with tuned(spark, current):
+        return tables.retried(attempt)
+
+
+def _by_part(df: DataFrame, part: Column) -> DataFrame:
+    """Rows of a part together, so that each gets few files; large parts are split."""
+    return df.withColumn(tables.PART, part).hint("rebalance", tables.PART).drop(tables.PART)

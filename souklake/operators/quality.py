@@ -34,13 +34,15 @@ def check_relationships(child: DataFrame, child_key: str, parent: DataFrame, par
 
 @dataclass(frozen=True)
 class TestSpec:
-    """One declared test: ``unique`` or ``not_null`` on one column."""
+    """One declared test on one column: ``unique``, ``not_null``, or ``relationships`` to a parent's column."""
 
     __test__ = False
 
     table: str
     column: str
     test: str
+    parent: str | None = None
+    parent_column: str | None = None
 
 
 def _tested_values(df: DataFrame, table: str, specs: list[TestSpec]) -> DataFrame:
@@ -48,9 +50,6 @@ def _tested_values(df: DataFrame, table: str, specs: list[TestSpec]) -> DataFram
 
     A column that is only tested for nulls contributes a constant instead of its values.
     """
-    unsupported = {s.test for s in specs} - {"unique", "not_null"}
-    if unsupported:
-        raise ValueError(f"no such test: {', '.join(sorted(unsupported))}")
     unique = {s.column for s in specs if s.test == "unique"}
     pairs = [
         F.struct(
@@ -70,12 +69,37 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return parts[0]
 
 
+def _orphans(tables: Mapping[str, DataFrame], spec: TestSpec) -> DataFrame:
+    """One row: how many child rows have a key that the parent lacks; null keys pass.
+
+    Keys collapse to one row each before the join, so a key that a third of the children share is one row.
+    """
+    child = tables[spec.table].where(F.col(spec.column).isNotNull())
+    keys = child.groupBy(F.col(spec.column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    lost = keys.join(tables[spec.parent].select(F.col(spec.parent_column).alias("k")), "k", "left_anti")
+    named = [F.lit(v).alias(c) for c, v in zip(("table_name", "column_name", "test"), (spec.table, spec.column, spec.test))]
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failures")).select(*named, "failures")
+
+
 def run_suite(tables: Mapping[str, DataFrame], specs: list[TestSpec]) -> DataFrame:
     """One row per declared test: table, column, test, number of failures (0 for an empty table).
 
-    All tests of all tables together take one scan of each table and one shuffle of distinct values.
-    Repeated values, nulls and the constants of null-tested columns collapse before it.
+    All ``unique`` and ``not_null`` tests of all tables together take one pass over each table and one
+    shuffle of distinct values; repeated values, nulls and the constants of null-tested columns collapse before
+    it. Store composed tables first, or each is composed in its pass. A ``relationships`` test reads the keys
+    of its two tables once more.
     """
+    unsupported = {s.test for s in specs} - {"unique", "not_null", "relationships"}
+    if unsupported:
+        raise ValueError(f"no such test: {', '.join(sorted(unsupported))}")
+    by_column = [s for s in specs if s.test != "relationships"]
+    results = [_orphans(tables, s) for s in specs if s.test == "relationships"]
+    if by_column:
+        results.append(_column_tests(tables, by_column))
+    return _union(results)
+
+
+def _column_tests(tables: Mapping[str, DataFrame], specs: list[TestSpec]) -> DataFrame:
     names = list(dict.fromkeys(s.table for s in specs))
     values = _union([_tested_values(tables[name], name, [s for s in specs if s.table == name]) for name in names])
     counted = values.groupBy("table_name", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))

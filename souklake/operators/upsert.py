@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souklake.operators.joins import BROADCAST_ROWS
-from souklake.operators.keys import key_columns, rows_by_key
+from souklake.operators.joins import fits_broadcast
+from souklake.operators.keys import content_hash, key_columns, rows_by_key
+from souklake.session import tuned
 from souklake.sources import tables
 
 
@@ -64,36 +65,59 @@ def upsert_table(
 ) -> int:
     """Upsert onto a versioned table and return its new version; 0 when the batch is empty.
 
-    ``batch_rows`` spares counting a batch whose size is known, such as one just landed.
+    ``batch_rows`` spares counting a batch whose size is known, such as one just landed. ``batch`` is read
+    several times, so it should be stored columns rather than text to be parsed.
 
-    With a partition expression only the partitions are rewritten that the batch falls into, or in
-    which its keys live now (a row may move). That costs one scan of the key columns instead of a
-    rewrite of the whole table. The expression must need no column that the batch lacks.
+    With a partition expression only the partitions are rewritten in which the batch changes something: those
+    that a new or changed row falls into, or in which its key lives now (a row may move). That costs one scan
+    instead of a rewrite of the whole table, and a batch that repeats what is there writes nothing and keeps
+    the version. The expression must need no column that the batch lacks. A writer that was overtaken by
+    another one starts again from the newer version.
     """
     keys = key_columns(keys)
     if batch_rows is None:
         batch_rows = batch.count()
     if batch_rows == 0:
         return 0
-    small = batch_rows <= BROADCAST_ROWS
-    rows = rows_by_key(batch, keys, "upsert batch", dedupe_by)
-    if tables.manifest(spark, path) is None:
-        return tables.commit(spark, path, _by_part(rows, part), part)
-    arriving = F.broadcast(rows) if small else rows
+    with tuned(spark, batch):
+        return tables.retried(lambda: _upsert_once(spark, path, batch, keys, part, dedupe_by, batch_rows))
+
 
+def _upsert_once(
+    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], part: Column | None, dedupe_by: str | None,
+    batch_rows: int,
+) -> int:
+    rows = rows_by_key(batch, keys, "upsert batch", dedupe_by)
+    base = tables.manifest(spark, path)
+    if base is None:
+        return tables.commit(spark, path, _by_part(rows, part), part, base=None)
+    small = fits_broadcast(batch_rows, rows.select(*keys))
     touched = None
     if part is not None:
+        stored = tables.read_table(spark, path, keep_part=True, at=base)
+        told = [c for c in rows.columns if c not in keys]
+        known = stored.select(*keys, F.col(tables.PART).alias("_was"), content_hash(told).alias("_old"))
+        arriving = rows.select(*keys, part.alias("_goes"), content_hash(told).alias("_new"))
+        if small:
+            # The table streams past the arriving keys.
+            known = known.join(F.broadcast(arriving.select(*keys)), keys, "left_semi")
+        met = arriving.join(known, keys, "left")
+        moved = met.where(F.col("_was").isNull() | (F.col("_was") != F.col("_goes")) | (F.col("_old") != F.col("_new")))
         # Partition names only: there are as many as the table has partitions.
-        incoming = {row[0] for row in batch.select(part.alias("p")).distinct().collect()}
-        stored = tables.read_table(spark, path, keep_part=True).select(*keys, tables.PART)
-        known = stored.join(arriving.select(*keys), keys, "left_semi")
-        living = {row[0] for row in known.select(tables.PART).distinct().collect()}
-        touched = sorted(incoming | living)
-
-    target = tables.read_table(spark, path, touched)
-    if small:
+        pairs = moved.select("_goes", "_was").distinct().collect()
+        if any(row["_goes"] is None for row in pairs):
+            raise ValueError("partition None is null or needs escaping")
+        touched = sorted({name for row in pairs for name in row if name is not None})
+        if not touched:
+            return base["version"]
+
+    target = tables.read_table(spark, path, touched, at=base)
+    if touched is not None:
+        # Arriving rows of other parts are there already.
+        rows = rows.where(part.isin(touched))
+    if small and fits_broadcast(batch_rows, rows):
         # Rows of the target stay in the files' own arrangement; only the arriving ones need one.
-        merged = _merge(target, arriving, keys, _by_part(rows, part))
+        merged = _merge(target, F.broadcast(rows), keys, _by_part(rows, part))
     else:
-        merged = _by_part(_merge(target, arriving, keys, rows), part)
-    return tables.commit(spark, path, merged, part, replace=touched)
+        merged = _by_part(_merge(target, rows, keys, rows), part)
+    return tables.commit(spark, path, merged, part, replace=touched, base=base)

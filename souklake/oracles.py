@@ -70,10 +70,10 @@ RELATIONS["src_order_reviews"] = """
 select cast(event_id as varchar) as review_id, cast(event_id as varchar) as order_id,
   1 + event_id % 5 as review_score,
   case when event_id % 2 <> 0 then ' ' || event_type || ' ' end as review_comment_title,
-  c.text as review_comment_message, ts as review_creation_date,
+  c.message as review_comment_message, ts as review_creation_date,
   case when event_id % 31 <> 0 then ts + to_hours(event_id % 97) end as review_answer_timestamp
-from events left join conversations c on c.conv_id = event_id and c.turn = 0
-where event_type in ('click', 'view')"""
+from events left join (select conv_id, string_agg(text, chr(10) order by turn, role, text) as message
+  from conversations group by conv_id) c on c.conv_id = event_id"""
 
 RELATIONS["src_marketing_qualified_leads"] = """
 select cast(event_id as varchar) as mql_id, 'lp' || cast(user_id % 12 as varchar) as landing_page_id,
@@ -90,7 +90,7 @@ select cast(event_id as varchar) as mql_id, cast(user_id as varchar) as seller_i
   case event_id % 4 when 0 then 'true' when 2 then 'false' end as has_company,
   case event_id % 3 when 0 then 't' when 1 then 'no' end as has_gtin,
   cast(null as varchar) as average_stock, 'Reseller' as business_type,
-  event_id % 50 as declared_product_catalog_size, value * 1000 as declared_monthly_revenue
+  event_id % 50 as declared_product_catalog_size, cast(cast(value as decimal(12,2)) * 1000 as decimal(14,2)) as declared_monthly_revenue
 from events where event_type = 'signup' and event_id % 3 <> 2"""
 
 
@@ -275,6 +275,48 @@ from stg_marketing_qualified_leads l
   left join seller_performance f on f.seller_key = s.seller_key"""
 
 
+# The columns of the marts.
+MART_COLUMNS = {
+    "dim_customers": (
+        "customer_key", "customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
+        "customer_state",
+    ),
+    "dim_products": (
+        "product_key", "product_id", "product_category_name_pt", "product_category_name",
+        "product_name_length", "product_description_length", "product_photos_qty", "product_weight_g",
+        "product_length_cm", "product_height_cm", "product_width_cm", "product_volume_cm3",
+    ),
+    "dim_sellers": (
+        "seller_key", "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state",
+    ),
+    "dim_marketing_leads": (
+        "mql_key", "mql_id", "seller_id", "sdr_id", "sr_id", "landing_page_id", "origin", "business_segment",
+        "lead_type", "lead_behaviour_profile", "business_type", "has_company", "has_gtin", "is_won",
+    ),
+    "fact_sales": (
+        "sales_item_key", "order_id", "order_item_id", "customer_key", "product_key", "seller_key",
+        "order_status", "order_purchase_at", "order_approved_at", "order_delivered_carrier_at",
+        "order_delivered_customer_at", "order_estimated_delivery_at", "shipping_limit_at", "price",
+        "freight_value", "total_item_amount", "delivery_duration_days", "delivery_delay_vs_estimated_days",
+        "is_late_delivery",
+    ),
+    "fact_payments": (
+        "payment_key", "order_id", "payment_sequential", "customer_key", "payment_type", "order_status",
+        "order_purchase_at", "payment_installments", "payment_value", "is_installment", "is_voucher_used",
+    ),
+    "fact_reviews": (
+        "review_key", "review_id", "order_id", "customer_key", "product_key", "seller_key", "review_score",
+        "review_comment_title", "review_comment_message", "review_created_at", "review_answered_at",
+        "order_purchase_at", "review_response_time_hours", "is_satisfied", "has_comment",
+    ),
+    "fact_marketing_funnel": (
+        "funnel_key", "mql_key", "seller_key", "mql_id", "seller_id", "sdr_id", "sr_id", "first_contact_at",
+        "won_at", "first_sale_at", "days_to_close", "days_to_first_sale", "declared_product_catalog_size",
+        "declared_monthly_revenue", "total_orders_completed", "total_gross_revenue", "is_won",
+        "is_active_seller",
+    ),
+}
+
 # --- earlier states of the sources ---------------------------------------------------------------
 
 
@@ -311,10 +353,10 @@ def snapshot_second(before: str, after: str, by: str, checks: tuple[str, ...], f
     changed = " or ".join(f"a.{c} is distinct from b.{c}" for c in checks)
 
     def part(alias: str, since: str, until: str, rest: str) -> str:
-        updated = since if until == "null" else until
+        # A row's update stamp is the time at which it was opened, also after it is closed.
         return (
             f"select {alias}.*, {since} as valid_from, cast({until} as timestamp) as valid_to, "
-            f"{updated} as updated_at, {key(f'{alias}.{by}', since)} as scd_id {rest}"
+            f"{since} as updated_at, {key(f'{alias}.{by}', since)} as scd_id {rest}"
         )
 
     both = f"from {before} a join {after} b using ({by})"
@@ -336,6 +378,9 @@ def suite(specs, relation_of) -> str:
         source, column = relation_of(spec.table), spec.column
         if spec.test == "unique":
             failing = f"(select {column} from {source} where {column} is not null group by 1 having count(*) > 1)"
+        elif spec.test == "relationships":
+            parent = f"select {spec.parent_column} from {relation_of(spec.parent)}"
+            failing = f"{source} c where {column} is not null and not exists ({parent} p where p.{spec.parent_column} = c.{column})"
         else:
             failing = f"{source} where {column} is null"
         counts.append(

@@ -52,3 +52,12 @@ SPECS = [
     for table, columns in declared.items()
     for column in columns
 ]
+
+# What the description of the sales fact asks for beyond the declared tests.
+FURTHER_SPECS = [
+    TestSpec("fact_sales", "price", "not_null"),
+    TestSpec("fact_sales", "freight_value", "not_null"),
+    TestSpec("fact_sales", "customer_key", "relationships", "dim_customers", "customer_key"),
+    TestSpec("fact_sales", "product_key", "relationships", "dim_products", "product_key"),
+    TestSpec("fact_sales", "seller_key", "relationships", "dim_sellers", "seller_key"),
+]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souklake.functions import days_between, default_to, flag, hours_between, surrogate_key
-from souklake.operators.joins import join_hot_keys, lookup
+from souklake.operators.joins import freshly_exchanged, lookup, lookup_key
 
 # Fixed values of the business rules.
 SATISFIED_FROM = 4
@@ -20,8 +20,8 @@ VOUCHER = "voucher"
 
 def order_context(orders: DataFrame, dim_customers: DataFrame, *columns: str) -> DataFrame:
     """Orders with their customer key, and only the named order columns."""
-    found = lookup(orders.select("order_id", "customer_id", *columns), dim_customers, "customer_id", "customer_key")
-    return found.drop("customer_id")
+    narrow = orders.select("order_id", "customer_id", *columns)
+    return lookup_key(narrow, dim_customers, "customer_id", "customer_key").drop("customer_id")
 
 
 def fact_sales(
@@ -40,8 +40,8 @@ def fact_sales(
         "order_delivered_customer_at",
         "order_estimated_delivery_at",
     )
-    items = lookup(order_items, dim_products, "product_id", "product_key")
-    items = lookup(items, dim_sellers, "seller_id", "seller_key")
+    items = lookup_key(order_items, dim_products, "product_id", "product_key")
+    items = lookup_key(items, dim_sellers, "seller_id", "seller_key")
     delivered, estimated = F.col("order_delivered_customer_at"), F.col("order_estimated_delivery_at")
     return items.join(order_context(orders, dim_customers, *order_columns), "order_id").select(
         surrogate_key("order_id", "order_item_id").alias("sales_item_key"),
@@ -100,14 +100,14 @@ def fact_reviews(
     """One row per review whose order exists.
 
     All lookups happen once per order; reviews then meet the finished order rows in a single join.
-    The order side may already be partitioned by order, so hot orders are spread explicitly.
+    Both sides of that join come straight out of an exchange, so adaptive execution splits a hot order.
     """
     summary = order_items_summary(order_items).drop("total_items_in_order")
     context = order_context(orders.join(summary, "order_id", "left"), dim_customers,
                             "order_purchase_at", "product_id", "seller_id")
-    context = lookup(context, dim_products, "product_id", "product_key").drop("product_id")
-    context = lookup(context, dim_sellers, "seller_id", "seller_key").drop("seller_id")
-    return join_hot_keys(order_reviews, context, "order_id").select(
+    context = lookup_key(context, dim_products, "product_id", "product_key").drop("product_id")
+    context = lookup_key(context, dim_sellers, "seller_id", "seller_key").drop("seller_id")
+    return order_reviews.join(freshly_exchanged(context, "order_id"), "order_id").select(
         surrogate_key("review_id", "order_id").alias("review_key"),
         "review_id",
         "order_id",

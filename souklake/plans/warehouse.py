@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from souklake.plans import cleaning, dimensions, facts
-from souklake.session import fit_shuffles
+from souklake.session import tuned
 from souklake.sources import tables
 
 MARTS = (
@@ -116,7 +116,7 @@ def store_warehouse(sources: Mapping[str, DataFrame], root: str, namespace: str
         warehouse.put(model, materialize(warehouse[model], model, "view", namespace))
     spark = warehouse["stg_order_items"].sparkSession
     # The widest shuffle brings items and orders together.
-    fit_shuffles(spark, warehouse["stg_order_items"], warehouse["stg_orders"])
-    for mart in MARTS:
-        warehouse.put(mart, materialize(warehouse[mart], mart, "table", namespace, root=root))
+    with tuned(spark, warehouse["stg_order_items"], warehouse["stg_orders"]):
+        for mart in MARTS:
+            warehouse.put(mart, materialize(warehouse[mart], mart, "table", namespace, root=root))
     return {mart: warehouse[mart] for mart in MARTS}

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from souklake.operators.joins import lookup
 from souklake.operators.quality import check_not_null, check_relationships, check_unique, run_suite
 from souklake.operators.upsert import upsert, upsert_table
 from souklake.plans import cleaning, facts, ingest
+from souklake.plans.declared_tests import FURTHER_SPECS as FURTHER_TESTS
 from souklake.plans.declared_tests import SPECS as DECLARED_TESTS
 from souklake.plans.snapshots import SNAPSHOTS
 from souklake.plans.warehouse import MARTS, Warehouse, materialize, store_warehouse
@@ -127,15 +129,73 @@ def land_csv_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, source(spark, sf_dir, "customers"), "customers", "csv", incremental=False)
 
 
+# Far below the number of rows at any given scale.
+SMALL_FILE_ROWS = 100
+
+
 @register(
-    "land_bounded_files", "select count(*) as landed_rows, true as every_file_bounded from src_order_payments"
+    "land_bounded_files",
+    f"""select count(*) as landed_rows, true as every_file_bounded, count(*) > {SMALL_FILE_ROWS} as several_files
+    from src_order_payments""",
 )
 def land_bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, root, bound = source(spark, sf_dir, "order_payments"), scratch_dir(spark, "bounded"), landing.BOUNDED_FILE_ROWS
+    df, root, bound = source(spark, sf_dir, "order_payments"), scratch_dir(spark, "bounded"), SMALL_FILE_ROWS
     landing.land(df, root, "db", "order_payments", None, max_records_per_file=bound)
-    back = landing.read_csv(spark, landing.landing_path(root, "db", "order_payments", None), df.schema)
+    back = landing.read_csv(spark, landing.landing_path(root, "db", "order_payments", None), df.schema, False)
     per_file = back.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.sum("n").alias("landed_rows"), (F.max("n") <= bound).alias("every_file_bounded"))
+    return per_file.agg(
+        F.sum("n").alias("landed_rows"),
+        (F.max("n") <= bound).alias("every_file_bounded"),
+        (F.count(F.lit(1)) > 1).alias("several_files"),
+    )
+
+
+@register("land_empty_batch", "select * from src_orders")
+def land_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty batch writes nothing, so the batch of an earlier run is still there."""
+    orders, root = source(spark, sf_dir, "orders"), scratch_dir(spark, "landing")
+    label = landing.batch_label("db", "2024-01-31")
+    landing.land(orders, root, "db", "orders", label)
+    landing.land(orders.where("order_id is null"), root, "db", "orders", label)
+    return landing.read_landed(spark, root, "db", "orders", "2024-01-31", orders.schema, True)
+
+
+# Every third order's first payment goes out with an amount, every seventh's with a count that is no number.
+BAD_AMOUNT, BAD_COUNT = "order_id % 3 = 0 and payment_sequential = 1", "order_id % 7 = 0"
+
+
+@register(
+    "land_rejects_bad_values",
+    f"""select order_id, payment_sequential, not ({BAD_AMOUNT} or {BAD_COUNT}) as kept,
+      case when not ({BAD_AMOUNT} or {BAD_COUNT}) then payment_installments end as payment_installments,
+      case when not ({BAD_AMOUNT} or {BAD_COUNT}) then payment_value end as payment_value
+    from (select * replace (cast(order_id as bigint) as order_id) from src_order_payments)""",
+)
+def land_rejects_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per given payment: what was kept of a batch with values that do not fit their types, and what was rejected."""
+    payments = source(spark, sf_dir, "order_payments").withColumn("order_id", F.col("order_id").cast("bigint"))
+    spoilt = payments.withColumns(
+        {
+            "payment_value": F.when(F.expr(BAD_AMOUNT), "n/a").otherwise(F.col("payment_value").cast("string")),
+            "payment_installments": F.when(F.expr(BAD_COUNT), "3.5").otherwise(
+                F.col("payment_installments").cast("string")
+            ),
+        }
+    )
+    root = scratch_dir(spark, "landing")
+    landing.land(spoilt, root, "db", "order_payments", None)
+    path = landing.landing_path(root, "db", "order_payments", None)
+    kept, rejected = landing.split_rejects(landing.read_csv(spark, path, payments.schema, False, rejects=True))
+    columns = ("order_id", "payment_sequential", "kept")
+    return kept.withColumn("kept", F.lit(True)).select(*columns, "payment_installments", "payment_value").unionByName(
+        rejected.withColumn("kept", F.lit(False)).select(*columns), allowMissingColumns=True
+    )
+
+
+@register("order_items_in_slices", "select * from src_order_items")
+def order_items_in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items numbered the way that orders with too many items for one task are, for orders with over six."""
+    return testbed.order_items(spark, sf_dir, hot_rows=6)
 
 
 # --- nested records ----------------------------------------------------------------------------
@@ -401,8 +461,7 @@ def snapshot_rerun_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "snap_orders",
     f"""select * exclude (vanished) replace (
-      case when vanished then timestamp '{THIRD}' else valid_to end as valid_to,
-      case when vanished then timestamp '{THIRD}' else updated_at end as updated_at)
+      case when vanished then timestamp '{THIRD}' else valid_to end as valid_to)
     from (select *, valid_to is null and order_status = 'canceled' as vanished from order_history)""",
     {"order_history": ORDER_HISTORY},
 )
@@ -523,7 +582,29 @@ def tested_tables(models: Warehouse) -> dict[str, DataFrame]:
     oracles.suite(DECLARED_TESTS, lambda t: t if t in MARTS else f"src_{cleaning.physical_name(t)}"),
 )
 def dq_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_suite(tested_tables(warehouse(spark, sf_dir)), DECLARED_TESTS)
+    """Tables are stored first, so that the suite reads each of them once."""
+    return run_suite(stored_tables(spark, sf_dir), DECLARED_TESTS)
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every table with declared tests, at rest."""
+    models, root = warehouse(spark, sf_dir), scratch_dir(spark, "tested")
+    marts = store_warehouse(models.sources, root)
+    names = dict.fromkeys(spec.table for spec in DECLARED_TESTS)
+    return {
+        name: marts[name] if name in MARTS else materialize(
+            models.sources[cleaning.physical_name(name)], name, "table", "raw", root=root
+        )
+        for name in names
+    }
+
+
+@register("dq_suite_relationships", oracles.suite(FURTHER_TESTS, lambda t: t))
+def dq_suite_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales fact against its dimensions, and its amounts."""
+    models = warehouse(spark, sf_dir)
+    names = {name for spec in FURTHER_TESTS for name in (spec.table, spec.parent) if name}
+    return run_suite({name: models[name] for name in names}, FURTHER_TESTS)
 
 
 # --- pipelines ---------------------------------------------------------------------------------
@@ -581,7 +662,41 @@ def materialize_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(warehouse(spark, sf_dir)["dim_products"], "dim_products", "table", root=root)
 
 
-@register("warehouse_stored", "select * from fact_marketing_funnel")
+@register("materialize_bucketed", "select * from stg_orders")
+def materialize_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table in buckets of its key."""
+    space = f"buckets_{uuid.uuid4().hex}"
+    return materialize(warehouse(spark, sf_dir)["stg_orders"], "stg_orders", "table", space, bucket_by=(4, "order_id"))
+
+
+# What of a mart both engines spell alike: everything but doubles.
+CHECKED = {
+    mart: [c for c in columns if c != "review_response_time_hours"]
+    for mart, columns in oracles.MART_COLUMNS.items()
+}
+
+
+def _checksum_sql(mart: str) -> str:
+    texts = ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in CHECKED[mart])
+    return (
+        f"select '{mart}' as mart, count(*) as n_rows, "
+        f"cast(coalesce(sum(cast('0x' || substr(md5(concat_ws('|', {texts})), 1, 8) as bigint)), 0) as bigint) as checksum "
+        f"from {mart}"
+    )
+
+
+@register("warehouse_stored", "\nunion all ".join(_checksum_sql(mart) for mart in MARTS))
 def warehouse_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All marts built and stored in order; the deepest one, which reads the stored others."""
-    return store_warehouse(warehouse(spark, sf_dir).sources, scratch_dir(spark, "stored"))["fact_marketing_funnel"]
+    """All marts built and stored in order; of each one its rows and a checksum that no order changes."""
+    marts = store_warehouse(warehouse(spark, sf_dir).sources, scratch_dir(spark, "stored"))
+
+    def told(mart: str) -> DataFrame:
+        row = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in CHECKED[mart]))
+        digits = F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint")
+        return marts[mart].agg(
+            F.lit(mart).alias("mart"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.coalesce(F.sum(digits), F.lit(0)).cast("bigint").alias("checksum"),
+        )
+
+    return reduce(DataFrame.unionByName, [told(mart) for mart in MARTS])

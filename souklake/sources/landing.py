@@ -6,8 +6,9 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from souklake.session import scratch_dir
 from souklake.sources import files
 from souklake.sources.extract import run_date
 
@@ -27,6 +28,9 @@ CSV_OPTIONS = {
 # Written in full; read without a pattern, so that foreign files may use any ISO spelling.
 WRITE_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
+# Where a read that keeps bad records puts their text.
+REJECTED = "_rejected"
+
 # Sources whose batches carry the run date itself; all others carry the day before.
 SAME_DAY_SOURCES = ("sheet",)
 
@@ -72,24 +76,58 @@ def land(
     return counted.get["rows"]
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True, rejects: bool = False
+) -> DataFrame:
     """Typed read of a landed CSV batch; types are declared, never inferred. Only empty is null.
 
-    A header that does not spell the declared columns raises instead of shifting values.
+    A header that does not spell the declared columns raises instead of shifting values. A value of a column
+    that is asked for raises if it does not fit its type; with ``rejects`` the record is kept as text in
+    the column REJECTED instead.
     """
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line, enforceSchema=False).csv(path)
+    options = {**CSV_OPTIONS, **_on_bad_record(rejects), "multiLine": multi_line}
+    reader = spark.read.schema(_with_rejects(schema, rejects))
+    return reader.options(**options, enforceSchema=False, columnPruning=False).csv(path)
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, one_array: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    one_array: bool = False,
+    rejects: bool = False,
 ) -> DataFrame:
-    """Landed JSON Lines, or a foreign file that holds one array of objects."""
-    reader = spark.read.option("multiLine", one_array)
+    """Landed JSON Lines, or a foreign file that holds one array of objects; bad records as in ``read_csv``."""
+    reader = spark.read.options(multiLine=one_array, **_on_bad_record(rejects))
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(_with_rejects(schema, rejects))
     return reader.json(path)
 
 
+def _on_bad_record(rejects: bool) -> dict[str, str]:
+    if rejects:
+        return {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
+    return {"mode": "FAILFAST"}
+
+
+def _with_rejects(schema: StructType | str, rejects: bool) -> StructType:
+    parsed = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    return StructType([*parsed.fields, StructField(REJECTED, StringType())]) if rejects else parsed
+
+
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What was read with ``rejects``: the records that fit their types, and the others with their text.
+
+    Spark checks only columns that a query asks for, so the batch is parsed whole and stored first; both
+    parts then agree on every record. Of a CSV record that does not fit, the values that do are there.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "parsed")
+    df.write.parquet(path)
+    parsed = spark.read.schema(df.schema).parquet(path)
+    fits = F.col(REJECTED).isNull()
+    return parsed.where(fits).drop(REJECTED), parsed.where(~fits)
+
+
 def read_landed(
     spark: SparkSession,
     root: str,
@@ -99,6 +137,7 @@ def read_landed(
     schema: StructType | str,
     incremental: bool,
     fmt: str = "csv",
+    multi_line: bool = True,
 ) -> DataFrame | None:
     """The batch of a run date, or None when nothing was landed.
 
@@ -108,5 +147,5 @@ def read_landed(
     undated = landing_path(root, source, table, None, fmt)
     for path in [dated] if incremental else [undated, dated]:
         if files.exists(spark, path):
-            return read_csv(spark, path, schema) if fmt == "csv" else read_json(spark, path, schema)
+            return read_csv(spark, path, schema, multi_line) if fmt == "csv" else read_json(spark, path, schema)
     return None

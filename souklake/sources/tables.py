@@ -4,6 +4,11 @@ A table is a folder of immutable version folders plus numbered manifests. A mani
 partition to the folders that hold its rows now. A write puts the new rows into the next version
 folder and then publishes the next manifest, so a job that dies half-way changes nothing, a read of
 the table may feed its own replacement, and untouched partitions are carried over by name only.
+
+Whoever derives a version from another passes the manifest it read to ``commit``; if someone published a newer
+version meanwhile, ``StaleVersion`` is raised and nothing is lost. Publishing renames a finished file to a
+name that must be free, so the file system has to refuse a rename onto an existing file, as HDFS does; on an
+object store without that, let one writer at a time write a table.
 """
 
 from __future__ import annotations
@@ -25,6 +30,18 @@ VERSION = "_version"
 RESERVED = {PART, VERSION}
 WHOLE = "all"
 MANIFESTS = "_manifests"
+# A write that is based on no version.
+WHATEVER = "whatever"
+
+
+class StaleVersion(Exception):
+    """The table got a newer version since the one that a write is based on."""
+
+
+def bucket_of(keys: list[str], buckets: int, prefix: str = "") -> Column:
+    """Partition value for a key without a date: one of ``buckets`` names, by hash."""
+    width = len(str(buckets - 1))
+    return F.concat(F.lit(f"{prefix}h"), F.lpad(F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string"), width, "0"))
 
 
 def month_of(column: str, missing: str = "none") -> Column:
@@ -45,9 +62,14 @@ def manifest(spark: SparkSession, path: str) -> dict | None:
     return json.loads(files.read_text(spark, f"{path}/{MANIFESTS}/{numbers[-1]:010d}.json"))
 
 
-def read_table(spark: SparkSession, path: str, parts: list[str] | None = None, keep_part: bool = False):
-    """The table (or only some partitions of it) as a DataFrame; None when it does not exist."""
-    current = manifest(spark, path)
+def read_table(
+    spark: SparkSession, path: str, parts: list[str] | None = None, keep_part: bool = False, at: dict | None = None
+) -> DataFrame | None:
+    """The table (or only some partitions of it) as a DataFrame; None when it does not exist.
+
+    ``at`` is a manifest read before, for several reads of one version.
+    """
+    current = at or manifest(spark, path)
     if current is None:
         return None
     schema = StructType.fromJson(current["schema"])
@@ -62,16 +84,22 @@ def read_table(spark: SparkSession, path: str, parts: list[str] | None = None, k
 
 
 def commit(
-    spark: SparkSession, path: str, df: DataFrame, part: Column | None = None, replace: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    df: DataFrame,
+    part: Column | None = None,
+    replace: list[str] | None = None,
+    base: dict | None | str = WHATEVER,
 ) -> int:
     """Write ``df`` as the next version and publish it; returns the version number.
 
     ``replace`` names the partitions that the rows take the place of (all of them by default); rows
-    of any other partition are added to it.
+    of any other partition are added to it. ``base`` is the manifest that ``df`` was derived from, None if
+    there was no table: where a newer version was published since, the write is refused with StaleVersion.
+    Without it the rows replace whatever is there now.
     """
-    current = manifest(spark, path)
-    numbers = _manifest_numbers(spark, path)
-    version = numbers[-1] + 1 if numbers else 1
+    current = manifest(spark, path) if base == WHATEVER else base
+    version = current["version"] + 1 if current else 1
     taken = RESERVED & {c.lower() for c in df.columns}
     if taken:
         raise ValueError(f"column names {sorted(taken)} are reserved")
@@ -91,10 +119,24 @@ def commit(
                 raise ValueError(f"partition {value!r} is null or needs escaping")
             kept.setdefault(value, []).append(f"{folder}/{name}")
     body = {"version": version, "schema": df.schema.jsonValue(), "parts": kept}
-    files.create_text(spark, f"{path}/{MANIFESTS}/{version:010d}.json", json.dumps(body))
+    try:
+        files.create_text(spark, f"{path}/{MANIFESTS}/{version:010d}.json", json.dumps(body))
+    except FileExistsError as error:
+        files.delete(spark, f"{path}/{folder}")
+        raise StaleVersion(f"{path} has a version {version} already") from error
     return version
 
 
+def retried(attempt, tries: int = 3):
+    """Run a read-and-commit again when someone else published in between; the last refusal is raised."""
+    for left in reversed(range(tries)):
+        try:
+            return attempt()
+        except StaleVersion:
+            if not left:
+                raise
+
+
 def drop_unused(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete what the newest ``keep`` manifests do not refer to; returns the deleted folders.
 

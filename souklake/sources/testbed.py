@@ -216,16 +216,17 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One review per event. Its message is the whole conversation of the same number, one line per turn."""
     key = F.col("event_id")
-    openers = (
+    said = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    messages = (
         given(spark, sf_dir, "conversations")
-        .where("turn = 0")
-        .select(F.col("conv_id").alias("event_id"), F.col("text").alias("review_comment_message"))
+        .groupBy(F.col("conv_id").alias("event_id"))
+        .agg(F.array_join(F.transform(said, lambda m: m["text"]), "\n").alias("review_comment_message"))
     )
     return (
         given(spark, sf_dir, "events")
-        .where(F.col("event_type").isin("click", "view"))
-        .join(openers, "event_id", "left")
+        .join(messages, "event_id", "left")
         .select(
             _text("event_id").alias("review_id"),
             _text("event_id").alias("order_id"),
@@ -273,7 +274,7 @@ def closed_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("average_stock"),
             F.lit("Reseller").alias("business_type"),
             (key % 50).alias("declared_product_catalog_size"),
-            (F.col("value") * 1000).alias("declared_monthly_revenue"),
+            (F.col("value").cast("decimal(12,2)") * 1000).cast("decimal(14,2)").alias("declared_monthly_revenue"),
         )
     )
 

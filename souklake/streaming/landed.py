@@ -7,39 +7,35 @@ from pyspark.sql.streaming import StreamingQuery
 
 from souklake.operators.upsert import upsert_table
 from souklake.plans.ingest import TableSpec, landing_root, staging_path
-from souklake.session import scratch_root
-from souklake.sources import tables
 from souklake.sources.landing import CSV_OPTIONS
 from souklake.sources.nested import flatten_structs
 
 
 def load_stream(
-    spark: SparkSession, spec: TableSpec, root: str, schema, checkpoint: str | None = None,
-    latest_by: str | None = None,
+    spark: SparkSession, spec: TableSpec, root: str, schema, checkpoint: str, latest_by: str
 ) -> StreamingQuery:
     """Upsert every batch that was landed since the last call, then stop.
 
-    The checkpoint remembers which files are done. A micro-batch that fails half-way is repeated,
-    which the upsert turns into the same table. Files of several days may share a micro-batch, so
-    ``latest_by`` names the column that tells which copy of a key is newest.
+    The checkpoint, a folder that outlives the session and serves this table and root only, remembers which files
+    are done. A micro-batch that fails half-way is repeated, which the upsert turns into the same table. Files of
+    several days may share a micro-batch, so ``latest_by`` names the column that tells which copy of a key is
+    newest. A record that does not fit its types stops the stream.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
     folder = f"{landing_root(root)}/{spec.source}/{spec.landing_name}/*.{spec.fmt}"
     if spec.fmt == "csv":
-        batches = reader.options(**CSV_OPTIONS, multiLine=True, enforceSchema=False).csv(folder)
+        batches = reader.options(**CSV_OPTIONS, multiLine=spec.free_text, enforceSchema=False, columnPruning=False).csv(folder)
     else:
         batches = flatten_structs(reader.json(folder))
-    part = tables.month_of(spec.month_of) if spec.month_of else None
 
     def merge(batch: DataFrame, _: int) -> None:
         upsert_table(
-            batch.sparkSession, staging_path(root, spec.name), batch, list(spec.keys), part, dedupe_by=latest_by
+            batch.sparkSession, staging_path(root, spec.name), batch, list(spec.keys), spec.part, dedupe_by=latest_by
         )
 
-    place = checkpoint or f"{scratch_root(spark)}/souklake/streams/{spec.name}"
     return (
         batches.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", place)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

@@ -127,3 +127,44 @@ def test_files_are_bounded(spark):
 def test_unknown_format(spark):
     with pytest.raises(ValueError, match="csv or json"):
         landing.land(spark.range(1), "/nowhere", "db", "x", None, "xml")
+
+
+@pytest.mark.parametrize(
+    ("fmt", "lines"),
+    [
+        ("csv", ["id,at", "1,2024-01-31", "xyz,2024-01-31", "3.5,2024-01-31", "4,2024-02-30", "99999999999,2024-01-31"]),
+        ("json", ['{"id":1,"at":"2024-01-31"}', '{"id":"xyz"}', '{"id":3.5}', '{"id":4,"at":"2024-02-30"}', '{"id":99999999999}', "{broken"]),
+    ],
+)
+def test_values_that_do_not_fit_raise_or_are_kept_as_text(spark, tmp_path, fmt, lines):
+    path, schema = str(tmp_path / f"data.{fmt}"), "id int, at date"
+    (tmp_path / f"data.{fmt}").write_text("\n".join(lines) + "\n")
+
+    def read(**how):
+        return landing.read_csv(spark, path, schema, False, **how) if fmt == "csv" else landing.read_json(spark, path, schema, **how)
+
+    with pytest.raises(Exception, match="MALFORMED|CANNOT_PARSE|FAILED_READ"):
+        read().collect()
+    kept, rejected = landing.split_rejects(read(rejects=True))
+    assert rows(kept, "id") == [(1,)]
+    bad = lines[2:] if fmt == "csv" else lines[1:]
+    assert sorted(r[landing.REJECTED] for r in rejected.collect()) == sorted(bad)
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from souklake.session import scratch_root
+
+    def context(master):
+        made = []
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: None),
+            sparkContext=SimpleNamespace(
+                master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append
+            ),
+        )
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(context("spark://host:7077"))
+    assert scratch_root(context("local[4]"))

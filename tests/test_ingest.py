@@ -4,12 +4,13 @@ from datetime import datetime
 
 import pytest
 from conftest import SF_DIR, rows
+from pyspark.sql import functions as F
 
 from souklake.plans import ingest
 from souklake.plans.warehouse import build_warehouse
 from souklake.queries import orders_as_of
 from souklake.session import scratch_dir
-from souklake.sources import landing, tables
+from souklake.sources import files, landing, tables
 from souklake.sources.testbed import SourceTables
 from souklake.streaming.landed import load_stream
 
@@ -31,7 +32,42 @@ def test_a_day_without_rows_loads_nothing(spark):
     orders, spec, root = SourceTables(spark, SF_DIR)["orders"], ingest.SPECS["orders"], scratch_dir(spark, "t")
     assert ingest.ingest_table(spark, orders, spec, "1980-01-01", root) == 0
     assert staged(spark, root, "orders") is None
-    assert ingest.load_landed(spark, spec, "1980-01-01", root, orders.schema, True) == 0
+    with pytest.raises(FileNotFoundError, match="orders"):
+        ingest.load_landed(spark, spec, "1980-01-01", root, orders.schema, True)
+    api = ingest.SPECS["order_payments"]
+    assert ingest.load_landed(spark, api, "1980-01-01", root, "order_id string", True) == 0
+
+
+def test_a_full_extract_rewrites_only_months_that_changed(spark):
+    source, spec, root = SourceTables(spark, SF_DIR), ingest.SPECS["order_items"], scratch_dir(spark, "t")
+    items = source["order_items"]
+    ingest.ingest_table(spark, items, spec, "2024-01-01", root)
+    path = ingest.staging_path(root, "order_items")
+    before = tables.manifest(spark, path)["parts"]
+    first = items.orderBy("order_id", "order_item_id").first()
+    changed = items.withColumn(
+        "price", F.when((F.col("order_id") == first.order_id) & (F.col("order_item_id") == first.order_item_id),
+                        F.lit(1).cast("decimal(12,2)")).otherwise(F.col("price"))
+    )
+    ingest.ingest_table(spark, changed, spec, "2024-01-02", root)
+    after = tables.manifest(spark, path)["parts"]
+    assert len(before) > 3 and sum(before[m] != after[m] for m in before) == 1
+    assert rows(staged(spark, root, "order_items")) == rows(changed)
+
+
+def test_old_versions_of_a_staging_table_go(spark):
+    orders, spec, root = SourceTables(spark, SF_DIR)["orders"], ingest.SPECS["orders"], scratch_dir(spark, "t")
+    for day in ("1998-06-01", "1998-06-02", "1998-06-03"):
+        ingest.ingest_table(spark, orders, spec, day, root, keep_versions=1)
+    assert files.list_names(spark, f"{ingest.staging_path(root, 'orders')}/_manifests") == ["0000000003.json"]
+
+
+def test_reviews_come_whole_or_in_a_window(spark):
+    reviews, spec = SourceTables(spark, SF_DIR)["order_reviews"], ingest.SPECS["order_reviews"]
+    window = "review_creation_date >= '2024-01-08' and review_creation_date < '2024-01-11'"
+    assert ingest.ingest_table(spark, reviews, spec, "2024-01-10", scratch_dir(spark, "t")) == reviews.count()
+    part = ingest.ingest_table(spark, reviews, spec, "2024-01-10", scratch_dir(spark, "t"), window_api=True)
+    assert 0 < part == reviews.where(window).count() < reviews.count()
 
 
 def test_full_load_then_window(spark):

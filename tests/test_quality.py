@@ -45,6 +45,21 @@ def test_suite_counts_like_the_single_checks(frame):
     ]
 
 
+def test_relationships_in_a_suite(frame):
+    spec = TestSpec("t", "k", "relationships", "p", "id")
+    both = {"t": frame(DATA, SCHEMA), "p": frame([("a",), (None,), ("a",)], "id string")}
+    assert rows(run_suite(both, [spec, TestSpec("t", "n", "not_null")])) == [("t", "k", "relationships", 2), ("t", "n", "not_null", 1)]
+    assert rows(run_suite({**both, "t": frame([], SCHEMA)}, [spec])) == [("t", "k", "relationships", 0)]
+
+
+def test_stored_tables_are_read_once_each(spark):
+    from souklake.queries import stored_tables
+
+    suite = run_suite(stored_tables(spark, SF_DIR), SPECS)
+    plan = suite._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len({s.table for s in SPECS})
+
+
 def test_unknown_tests_raise(frame):
     with pytest.raises(ValueError, match="no such test: positive"):
         run_suite({"t": frame(DATA, SCHEMA)}, [TestSpec("t", "n", "positive")])

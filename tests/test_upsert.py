@@ -96,7 +96,7 @@ def test_only_touched_partitions_are_rewritten(spark, frame):
 
 
 def test_large_batches_take_the_shuffled_way(spark, frame, monkeypatch):
-    monkeypatch.setattr("souklake.operators.upsert.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("souklake.operators.joins.BROADCAST_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         path, part = scratch_dir(spark, "t"), F.col("a")
@@ -122,6 +122,51 @@ def test_two_writers_cannot_publish_the_same_version(spark):
     assert files.read_text(spark, path) == "{}"
 
 
+@pytest.mark.parametrize("part", [None, "a"])
+def test_an_upsert_that_is_overtaken_loses_nothing(spark, frame, monkeypatch, part):
+    """Another writer commits between this one's read and its commit."""
+    path, other = scratch_dir(spark, "t"), []
+    part = part and F.col(part)
+    upsert_table(spark, path, frame([(1, "x", "p"), (2, "x", "q")], SCHEMA), "k", part)
+    commit = tables.commit
+
+    def overtaken(*args, **kwargs):
+        if not other:
+            other.append(True)
+            upsert_table(spark, path, frame([(1, "x", "theirs"), (3, "y", "theirs")], SCHEMA), "k", part)
+        return commit(*args, **kwargs)
+
+    monkeypatch.setattr(tables, "commit", overtaken)
+    upsert_table(spark, path, frame([(2, "x", "mine"), (4, "y", "mine")], SCHEMA), "k", part)
+    assert rows(tables.read_table(spark, path)) == [
+        (1, "x", "theirs"), (2, "x", "mine"), (3, "y", "theirs"), (4, "y", "mine")
+    ]
+
+
+def test_a_write_based_on_an_old_version_is_refused(spark, frame):
+    path = scratch_dir(spark, "t")
+    tables.commit(spark, path, frame([(1, "x", "p")], SCHEMA))
+    seen = tables.manifest(spark, path)
+    tables.commit(spark, path, frame([(2, "x", "p")], SCHEMA), base=seen)
+    with pytest.raises(tables.StaleVersion):
+        tables.commit(spark, path, frame([(3, "x", "p")], SCHEMA), base=seen)
+    with pytest.raises(tables.StaleVersion):
+        tables.commit(spark, path, frame([(3, "x", "p")], SCHEMA), base=None)
+    assert rows(tables.read_table(spark, path), "k") == [(2,)]
+
+
+def test_a_batch_that_repeats_what_is_there_writes_nothing(spark, frame):
+    path, part = scratch_dir(spark, "t"), F.col("a")
+    data = [(1, "x", None), (2, "y", "q"), (3, "z", "r")]
+    assert upsert_table(spark, path, frame(data, SCHEMA), "k", part) == 1
+    assert upsert_table(spark, path, frame(data[:2], SCHEMA), "k", part) == 1
+    assert upsert_table(spark, path, frame([*data[:2], (3, "z", "new")], SCHEMA), "k", part) == 2
+    folders = tables.manifest(spark, path)["parts"]
+    assert {name: found[0].split("-")[0] for name, found in folders.items()} == {
+        "x": "_version=1", "y": "_version=1", "z": "_version=2"
+    }
+
+
 def test_small_batch_leaves_the_target_unshuffled(spark):
     target = spark.range(0, 1000).withColumn("v", F.lit("old"))
     batch = spark.range(990, 1010).withColumn("v", F.lit("new"))
