@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souklake.session import scratch_dir
@@ -42,6 +45,20 @@ def lower_ascii(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def ship(spark: SparkSession) -> None:
+    """Give Python workers this library, so that tasks find it wherever they run. Once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_souklake_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    target = Path(tempfile.mkdtemp(prefix="souklake-")).resolve() / "souklake.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted((root / "souklake").rglob("*.py")):
+            archive.write(file, file.relative_to(root))
+    context.addPyFile(str(target))
+    context._souklake_shipped = True
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """Write rows below the session's shared folder and read them back: lineage ends there, and a lost
     executor costs no more than a read."""

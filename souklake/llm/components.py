@@ -30,12 +30,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     nodes; each round is written to the shared folder, so that lineage stays short.
     """
     current = store(edges.select("u", "v").where("u <> v").distinct(), "components")
-    before = None
     while True:
-        mark = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == before:
-            break
-        before = mark
         current = store(_small_star(_large_star(current)), "components")
+        # Done when all are stars around their smallest node: no centre points on to another one.
+        centres = current.select(F.col("v").alias("u")).distinct()
+        if not current.join(centres, "u", "left_semi").limit(1).count() and not (
+            current.groupBy("u").count().where("count > 1").limit(1).count()
+        ):
+            break
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -14,10 +14,12 @@ decides, per set, which signatures to index, until their credit exceeds H:
 - A set whose credit is still too small takes expensive signatures too, up to H + 1, and a set that fills
   fewer than H + 1 segments takes its shingles themselves. No pair is lost, whatever the frequencies.
 
-Sets with equal signatures are candidates. Groups of similar sets are not expanded into all pairs: every set
-is compared with the set it shares most signatures with among the smallest of their lists, verified links are
-contracted into components, and at the end all pairs of sets that share a signature but not a component are
-verified. Equal sets are one node from the start. Shingles, sets and signatures are 64-bit hashes.
+Sets with equal signatures are candidates. Short lists are paired off. Groups of similar sets are not expanded
+into all pairs: every set is first compared with the one it shares most lists with, in long lists with the
+list's hub only, and verified links are contracted into components. After that, pairs of short lists that
+are not in one component are verified, and long lists are treated the same way until all pairs of sets that
+share a list but not a component are few enough to be verified one by one. Equal sets are one node from the
+start. Shingles, sets and signatures are 64-bit hashes; texts are compared by their full sets of shingles.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souklake.llm.common import LOWER, UPPER, store
+from souklake.llm.common import LOWER, UPPER, ship, store
 from souklake.llm.components import connected_components
 
 SHINGLE = 5
@@ -46,8 +48,13 @@ FREQUENT_SHARE, FREQUENT_LEAST = 0.004, 32
 PART_BYTES = 32 << 20
 # Entries that a task collects before it hands them on.
 FLUSH_ENTRIES = 1_000_000
-# Star rounds go on while verifying all open pairs would take more than this many pairs per signature row.
-OPEN_PAIRS, MAX_ROUNDS = 2, 6
+# A list of up to so many sets is paired off at once; in a batch, one of more than BATCH_LIST counts as long.
+SHORT_LIST, BATCH_LIST = 32, 64
+# Star rounds over the long lists go on while all their open pairs are more than this many per row of theirs,
+# as long as a round still links at least so large a share of the sets that it compares.
+OPEN_PAIRS, FRUITFUL, MAX_ROUNDS = 16, 0.05, 6
+# Candidates up to this many (some 64 bytes each) find their texts by a broadcast, more of them by a shuffle.
+BROADCAST_NODES = 500_000
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _U = np.uint64
@@ -197,29 +204,25 @@ def _frequent(described: DataFrame, n_docs: int) -> bytes:
     return b"".join(bits.get(block, empty) for block in range(SKETCH_BLOCKS))
 
 
-_BLOB = "part int, live boolean, sigs binary, nodes binary, sizes binary"
-_LIVE = "sig long, node long, n int"
+_BLOB = "part int, kind int, sigs binary, nodes binary, sizes binary"
+_FOUND = "sig long, u long, v long, n int"
+# Rows of signatures; one row of each signature that is crowded in a batch; the rows of those signatures.
+PLAIN, CROWDED, MEMBER = 0, 1, 2
 
 
-def _shared(sigs: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of the rows whose signature two nodes share, and of one row per signature."""
-    order = np.lexsort((nodes, sigs))
-    s, n = sigs[order], nodes[order]
-    new_sig = np.concatenate(([True], s[1:] != s[:-1]))
-    new_row = new_sig | np.concatenate(([True], n[1:] != n[:-1]))
-    order, new_sig = order[new_row], new_sig[new_row]
-    first = np.flatnonzero(new_sig)
-    count = np.diff(np.append(first, len(order)))
-    return order[np.repeat(count > 1, count)], order[first]
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of a sorted array."""
+    start = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.empty(0, int)
+    return start, np.diff(np.append(start, len(values)))
 
 
 def _index(threshold: tuple[int, int], frequent: bytes, parts: int, size: int):
-    """Packed signature rows by part. What is shared within a batch is known to be live there, and only one
-    row of it moves on, so the part of a signature that most documents have stays small."""
+    """Packed signature rows by part. A signature that many sets of a batch have is known to be crowded there:
+    its rows go anywhere, and one of them tells its own part, which stays small that way."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         allocation = Allocation(threshold, frequent)
-        schema = pa.schema([("part", pa.int32()), ("live", pa.bool_()), ("sigs", pa.binary()),
+        schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("sigs", pa.binary()),
                             ("nodes", pa.binary()), ("sizes", pa.binary())])
 
         def packed(found: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
@@ -227,16 +230,19 @@ def _index(threshold: tuple[int, int], frequent: bytes, parts: int, size: int):
             sigs = np.concatenate([sigs for sigs, _, _ in found])
             nodes = np.repeat(np.array([node for _, node, _ in found], dtype=np.int64), lengths)
             sizes = np.repeat(np.array([n for _, _, n in found], dtype=np.int32), lengths)
-            live, lone = _shared(sigs, nodes)
+            order = np.argsort(sigs, kind="stable")
+            start, count = _runs(sigs[order])
+            many = np.repeat(count > BATCH_LIST, count)
+            first = order[start[count > BATCH_LIST]]
             out = []
-            for rows, is_live in ((live, True), (lone, False)):
+            for kind, rows in ((PLAIN, order[~many]), (CROWDED, first), (MEMBER, order[many])):
                 rows = np.sort(rows)  # rows of a node stay together and pack well
-                part = (sigs[rows] % _U(parts)).astype(np.int32)
-                rows, part = rows[np.argsort(part, kind="stable")], np.sort(part, kind="stable")
-                cuts = np.flatnonzero(np.diff(part)) + 1
-                for own in np.split(np.arange(len(rows)), cuts) if len(rows) else []:
-                    at = rows[own]
-                    out.append((int(part[own[0]]), is_live, sigs[at].tobytes(), nodes[at].tobytes(), sizes[at].tobytes()))
+                part = ((sigs if kind != MEMBER else nodes.view(np.uint64))[rows] % _U(parts)).astype(np.int32)
+                by_part = np.argsort(part, kind="stable")
+                rows, part = rows[by_part], part[by_part]
+                for at, n in zip(*_runs(part)):
+                    own = rows[at : at + n]
+                    out.append((int(part[at]), kind, sigs[own].tobytes(), nodes[own].tobytes(), sizes[own].tobytes()))
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
         found, seen, waiting = [], set(), 0
@@ -261,52 +267,190 @@ def _index(threshold: tuple[int, int], frequent: bytes, parts: int, size: int):
     return run
 
 
-def _join_part(table: pa.Table) -> pa.Table:
-    """Signature rows of one part that at least two nodes share."""
-    columns = table.column("live").to_pylist(), *(table.column(c).to_pylist() for c in ("sigs", "nodes", "sizes"))
-    kinds = (np.uint64, np.int64, np.int32)
-    unpacked = [(live, *(np.frombuffer(data, dtype=k) for data, k in zip(rest, kinds))) for live, *rest in zip(*columns)]
-    ready = [row[1:] for row in unpacked if row[0]]
-    lone = [row[1:] for row in unpacked if not row[0]]
-    if lone:
-        joined = [np.concatenate(column) for column in zip(*lone)]
-        shared, _ = _shared(joined[0], joined[1])
-        ready.append(tuple(column[shared] for column in joined))
-    sigs, nodes, sizes = (np.concatenate(column) for column in zip(*ready))
-    return pa.table({"sig": sigs.view(np.int64), "node": nodes, "n": sizes})
+def _join_part(threshold: tuple[int, int]):
+    """Of one part: pairs of sets (u, v) with the number of short lists they share, and members (sig, u) of size n of
+    the lists that are too long to be paired off at once."""
+    num, den = threshold
+
+    def run(table: pa.Table) -> pa.Table:
+        kinds = np.array(table.column("kind").to_pylist())
+
+        def rows_of(*wanted: int) -> tuple[np.ndarray, ...]:
+            types = {"sigs": np.uint64, "nodes": np.int64, "sizes": np.int32}
+            pick = np.flatnonzero(np.isin(kinds, wanted))
+            return tuple(
+                np.concatenate([np.frombuffer(table.column(c)[int(i)].as_py(), dtype=t) for i in pick])
+                if len(pick) else np.empty(0, dtype=t)
+                for c, t in types.items()
+            )
+
+        sigs, nodes, sizes = rows_of(PLAIN, CROWDED)
+        told = np.unique(rows_of(CROWDED)[0])
+        order = np.lexsort((nodes, sigs))
+        sigs, nodes, sizes = sigs[order], nodes[order], sizes[order]
+        fresh = np.ones(len(sigs), dtype=bool)
+        fresh[1:] = (sigs[1:] != sigs[:-1]) | (nodes[1:] != nodes[:-1])
+        sigs, nodes, sizes = sigs[fresh], nodes[fresh], sizes[fresh]
+        start, count = _runs(sigs)
+        long_ = (count > SHORT_LIST) | np.isin(sigs[start], told)
+        member = np.repeat(long_, count)
+        live = rows_of(MEMBER)
+        live = tuple(np.concatenate((a[member], b)) for a, b in zip((sigs, nodes, sizes), live))
+
+        pairs_u, pairs_v = [], []
+        for k in range(2, SHORT_LIST + 1):
+            lists = start[(count == k) & ~long_]
+            for i in range(k if len(lists) else 0):
+                for j in range(i + 1, k):
+                    a, b = lists + i, lists + j
+                    small, large = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+                    fit = small.astype(np.int64) * den >= large.astype(np.int64) * num
+                    pairs_u.append(nodes[a[fit]])
+                    pairs_v.append(nodes[b[fit]])
+        none = [np.empty(0, dtype=np.int64)]
+        u, v = np.concatenate(pairs_u or none), np.concatenate(pairs_v or none)  # nodes are sorted within a list, so u < v
+        order = np.lexsort((v, u))
+        u, v = u[order], v[order]
+        new = np.ones(len(u), dtype=bool)
+        new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+        at = np.flatnonzero(new)
+        votes = np.diff(np.append(at, len(u)))
+        schema = pa.schema([("sig", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("n", pa.int32())])
+        lone, paired = len(live[0]), len(at)
+        columns = [
+            pa.concat_arrays([pa.array(live[0].view(np.int64)), pa.nulls(paired, pa.int64())]),
+            pa.array(np.concatenate((live[1], u[at]))),
+            pa.concat_arrays([pa.nulls(lone, pa.int64()), pa.array(v[at])]),
+            pa.array(np.concatenate((live[2], votes)).astype(np.int32)),
+        ]
+        return pa.Table.from_arrays(columns, schema=schema)
+
+    return run
+
+
+def _compare(threshold: tuple[int, int], size: int):
+    """The pairs (u, v) whose texts are similar. Texts are shingled once for all pairs of a batch."""
+    num, den = threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v, texts_u, texts_v = (column for column in batch.columns)
+            sets: dict[int, np.ndarray] = {}
+            similar = []
+            for i, (a, b) in enumerate(zip(u.to_pylist(), v.to_pylist())):
+                for node, texts in ((a, texts_u), (b, texts_v)):
+                    if node not in sets:
+                        sets[node] = shingles(texts[i].as_py(), size)
+                x, y = sets[a], sets[b]
+                both = np.concatenate((x, y))
+                both.sort(kind="stable")
+                common = int((both[1:] == both[:-1]).sum())
+                if common * den >= (len(x) + len(y) - common) * num:
+                    similar.append(i)
+            rows = pa.array(similar, pa.int64())
+            yield pa.RecordBatch.from_arrays([u.take(rows), v.take(rows)], ["u", "v"])
+
+    return run
+
+
+def profile(items: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each of a power of two of buckets, some three per bucket; 255 at most.
+
+    The profiles of two sets differ by no more than the sets do, so they rule pairs out without the texts.
+    """
+    buckets = 1 << max(3, len(items).bit_length() - 2)
+    counts = np.bincount((items & _U(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def profile_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """Total difference, after folding the longer profile onto the shorter one."""
+    n = min(len(a), len(b))
+    a, b = (x.reshape(-1, n).sum(axis=0, dtype=np.int64) for x in (a, b))
+    return int(np.abs(a - b).sum())
+
+
+def _profiles(size: int):
+    """node, text, n, counts for rows (node, text) whose text gives that node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, sizes, counts = [], [], []
+            for i, (node, body) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+                items = shingles(body.as_py(), size)
+                if len(items) and node_of(items) == node:
+                    keep.append(i)
+                    sizes.append(len(items))
+                    counts.append(profile(items).tobytes())
+            rows = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(sizes, pa.int64()),
+                 pa.array(counts, pa.binary())],
+                ["node", "text", "n", "counts"],
+            )
+
+    return run
 
 
-def _sets(size: int):
-    """node, n, items for rows (node, text) whose text still gives that node."""
+def _close(threshold: tuple[int, int]):
+    """The pairs (u, v) that their sizes and profiles do not rule out."""
+    allocation = Allocation(threshold, b"")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("items", pa.list_(pa.int64()))])
         for batch in batches:
-            rows = [
-                (node, len(items), items.view(np.int64))
-                for node, body in zip(batch.column(0).to_pylist(), batch.column(1))
-                if node == node_of(items := shingles(body.as_py(), size))
+            u, v, sizes_u, sizes_v, counts_u, counts_v = batch.columns
+            close = [
+                i
+                for i, (m, n) in enumerate(zip(sizes_u.to_pylist(), sizes_v.to_pylist()))
+                if profile_distance(
+                    *(np.frombuffer(c[i].as_py(), dtype=np.uint8) for c in (counts_u, counts_v))
+                ) <= allocation.differences(m, n)
             ]
-            columns = list(zip(*rows)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            rows = pa.array(close, pa.int64())
+            yield pa.RecordBatch.from_arrays([u.take(rows), v.take(rows)], ["u", "v"])
 
     return run
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs (u, v) that are similar, by the intersection of their sets."""
-    num, den = threshold
-    a = sets.select(F.col("node").alias("u"), F.col("items").alias("_a"))
-    b = sets.select(F.col("node").alias("v"), F.col("items").alias("_b"))
-    both = pairs.join(a, "u").join(b, "v")
-    common = F.size(F.array_intersect("_a", "_b"))
-    union = F.size("_a") + F.size("_b")
-    return both.select("u", "v", common.alias("_c"), union.alias("_n")).where(
-        (F.col("_c") * den >= (F.col("_n") - F.col("_c")) * num)
-    ).select("u", "v")
+def _verify(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int], size: int) -> DataFrame:
+    """The pairs (u, v) that are similar, by the shingles of their texts; texts travel only for close pairs."""
+
+    def side(node: str, *columns: str) -> DataFrame:
+        return texts.select(F.col("node").alias(node), *(F.col(c).alias(f"{node}_{c}") for c in columns))
+
+    told = pairs.join(side("u", "n", "counts"), "u").join(side("v", "n", "counts"), "v")
+    close = store(
+        told.select("u", "v", "u_n", "v_n", "u_counts", "v_counts").mapInArrow(_close(threshold), "u long, v long"),
+        "jaccard-close",
+    )
+    both = close.join(side("u", "text"), "u").join(side("v", "text"), "v").select("u", "v", "u_text", "v_text")
+    return both.mapInArrow(_compare(threshold, size), "u long, v long")
+
+
+def _texts(docs: DataFrame, info: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """node, text, n, counts for the given nodes, from one document each."""
+    first = info.groupBy("node").agg(F.min("doc").alias("doc"))
+    wanted = store(nodes.join(first, "node"), "jaccard-wanted")
+    if wanted.count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+    # Rows that repeat an id with another text belong to another node and fall out here.
+    found = docs.join(wanted, "doc").select("node", "text").mapInArrow(
+        _profiles(size), "node long, text string, n long, counts binary"
+    )
+    if info.groupBy("doc").count().where("count > 1").limit(1).count():
+        found = found.dropDuplicates(["node"])
+    return store(found, "jaccard-texts")
+
+
+def _name(frame: DataFrame, node: str, name: str, components: DataFrame) -> DataFrame:
+    """``frame`` with the component of a node, which is the node itself where it has no links."""
+    known = components.select(F.col("node").alias(node), F.col("component").alias(name))
+    return frame.join(known, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def similar_nodes(docs: DataFrame, described: DataFrame, n_docs: int, threshold=THRESHOLD, size: int = SHINGLE) -> DataFrame:
+def similar_nodes(
+    docs: DataFrame, described: DataFrame, n_docs: int, threshold=THRESHOLD, size: int = SHINGLE
+) -> DataFrame:
     """node, component for all nodes that are linked to another. ``docs`` has doc and text, ``described``
     what ``_describe`` found out about them."""
     num, den = threshold
@@ -315,70 +459,83 @@ def similar_nodes(docs: DataFrame, described: DataFrame, n_docs: int, threshold=
     entries = info.agg(F.sum("n")).first()[0] or 0
     # Some 20 bytes for each of up to half as many signatures as shingles.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), entries * 10 // PART_BYTES + 1)
-    frequent = _frequent(described, n_docs)
-    live = store(
+    found = store(
         docs.select("text")
-        .mapInArrow(_index(threshold, frequent, parts, size), _BLOB)
+        .mapInArrow(_index(threshold, _frequent(described, n_docs), parts, size), _BLOB)
         .groupBy("part")
-        .applyInArrow(_join_part, _LIVE),
-        "jaccard-live",
+        .applyInArrow(_join_part(threshold), _FOUND),
+        "jaccard-found",
     )
-
-    # The texts of candidates, one document per node.
-    first = info.groupBy("node").agg(F.min("doc").alias("doc"))
-    wanted = live.select("node").distinct().join(first, "node")
-    texts = wanted.join(docs, "doc").select("node", "text")
-    if info.groupBy("doc").count().where("count > 1").limit(1).count():
-        texts = texts.dropDuplicates(["node"])
-    sets = store(texts.mapInArrow(_sets(size), "node long, n int, items array<long>"), "jaccard-sets")
+    pairs = store(
+        found.where("v is not null").groupBy("u", "v").agg(F.sum("n").alias("votes")), "jaccard-pairs"
+    )
+    live = store(
+        found.where("sig is not null").select("sig", F.col("u").alias("node"), "n").distinct(), "jaccard-live"
+    )
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(live.select("node")).distinct()
+    texts = _texts(docs, info, nodes, size)
 
     def fits(a: str, b: str):
-        return (F.least(a, b) * den) >= (F.greatest(a, b) * num)
-
-    components, tried, links = None, None, None
-    for round_ in range(MAX_ROUNDS + 1):
-        if components is None:
-            named = live.withColumn("c", F.col("node"))
-        else:
-            named = live.join(components.withColumnRenamed("component", "c"), "node", "left").withColumn(
-                "c", F.coalesce("c", "node")
-            )
-        named = named.dropDuplicates(["sig", "node"])
-        by_sig = named.groupBy("sig", "c").agg(F.count("*").alias("k")).groupBy("sig").agg(
+        return F.least(a, b).cast("long") * den >= F.greatest(a, b).cast("long") * num
+
+    def stars(members: DataFrame, round_: int) -> DataFrame:
+        """node, partner, votes: every member with the hub of its list, the first in this round's order."""
+        rank = F.xxhash64(F.lit(round_), "node").alias("r")
+        hubs = members.groupBy("sig").agg(F.min(F.struct(rank, "node", "n", "c")).alias("hub"))
+        met = members.join(hubs, "sig").where((F.col("c") != F.col("hub.c")) & fits("n", "hub.n"))
+        return met.groupBy("node", F.col("hub.node").alias("partner")).agg(F.count("*").alias("votes"))
+
+    def best(votes: DataFrame) -> DataFrame:
+        """Per node the pair with the partner it shares most lists with."""
+        summed = votes.groupBy("node", "partner").agg(F.sum("votes").alias("votes"))
+        one = summed.groupBy("node").agg(F.max(F.struct("votes", "partner"))["partner"].alias("partner"))
+        return one.select(F.least("node", "partner").alias("u"), F.greatest("node", "partner").alias("v"))
+
+    both_ways = pairs.select(F.col("u").alias("node"), F.col("v").alias("partner"), "votes").union(
+        pairs.select("v", "u", "votes")
+    )
+    todo = best(both_ways.union(stars(live.withColumn("c", F.col("node")), 0)))
+    tried = store(todo.distinct(), "jaccard-tried")
+    first = store(_verify(tried, texts, threshold, size), "jaccard-links")
+    components = store(connected_components(first), "jaccard-components")
+
+    rest, round_, done, fruitful = pairs.select("u", "v"), 0, False, True
+    while not done:
+        round_ += 1
+        named = _name(live, "node", "c", components)
+        sizes = named.groupBy("sig", "c").agg(F.count("*").alias("k")).groupBy("sig").agg(
             F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count("*").alias("n_c")
         )
-        open_sigs = by_sig.where("n_c > 1").select("sig", ((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs"))
-        members = store(named.join(open_sigs, "sig"), "jaccard-open")
-        total = members.agg(F.count("*"), F.sum("pairs")).first()
-        if not total[0]:
-            break
-        n_pairs = members.groupBy("sig").agg(F.first("pairs").alias("p")).agg(F.sum("p")).first()[0]
-        last = n_pairs <= OPEN_PAIRS * total[0] or round_ == MAX_ROUNDS
-        if last:
+        open_ = sizes.where("n_c > 1").select("sig", ((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs"))
+        members = store(named.join(open_, "sig"), "jaccard-open")
+        total = members.groupBy("sig").agg(F.count("*").alias("k"), F.first("pairs").alias("p")).agg(
+            F.sum("k").alias("k"), F.sum("p").alias("p")
+        ).first()
+        done = not total["k"] or total["p"] <= OPEN_PAIRS * total["k"] or round_ > MAX_ROUNDS or not fruitful
+        if not total["k"]:
+            todo = None
+        elif done:
             a = members.select("sig", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("c").alias("cu"))
             b = members.select("sig", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("c").alias("cv"))
-            pairs = a.join(b, "sig").where((F.col("cu") < F.col("cv")) & fits("nu", "nv"))
-            pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+            crossed = a.join(b, "sig").where((F.col("cu") < F.col("cv")) & fits("nu", "nv"))
+            todo = crossed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         else:
-            # The member that comes first in this round's order is the hub of its list.
-            rank = F.xxhash64(F.lit(round_), "node")
-            hubs = members.groupBy("sig").agg(F.min(F.struct(rank.alias("r"), "node", "n", "c")).alias("hub"))
-            met = members.join(hubs, "sig").where((F.col("c") != F.col("hub.c")) & fits("n", "hub.n"))
-            votes = met.groupBy("node", F.col("hub.node").alias("hub")).agg(F.count("*").alias("votes"))
-            best = votes.groupBy("node").agg(F.max(F.struct("votes", "hub"))["hub"].alias("hub"))
-            pairs = best.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = store(pairs, "jaccard-pairs")
-        found = store(_verify(pairs, sets, threshold), "jaccard-links")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = found if links is None else links.union(found)
-        # Links between components found so far, and those inside them, in terms of nodes.
-        components = store(connected_components(links), "jaccard-components")
-        if last:
+            todo = best(stars(members, round_))
+        if rest is not None:
+            # Pairs of short lists: all that are still open, once.
+            crossed = _name(_name(rest, "u", "cu", components), "v", "cv", components).where("cu <> cv")
+            todo = crossed.select("u", "v") if todo is None else todo.union(crossed.select("u", "v"))
+            rest = None
+        if todo is None:
             break
-    if components is None:
-        return spark.createDataFrame([], "node long, component long")
+        todo = store(todo.distinct().join(tried, ["u", "v"], "left_anti"), "jaccard-tried")
+        new = store(_verify(todo, texts, threshold, size), "jaccard-links")
+        tried, n_new = tried.union(todo), new.count()
+        fruitful = n_new >= FRUITFUL * todo.count()
+        if n_new:
+            # Components so far are stars; new links join them.
+            known = components.select(F.col("node").alias("u"), F.col("component").alias("v"))
+            components = store(connected_components(known.union(new)), "jaccard-components")
     return components
 
 
@@ -394,6 +551,7 @@ def near_duplicates(
     that is repeated with other texts belongs to the components of all of them, and each row names its own.
     An empty table gives no rows; other columns are ignored.
     """
+    ship(docs.sparkSession)
     named = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     described = store(
         named.mapInArrow(_describe(size), "doc long, node long, n long, block int, counts binary"), "jaccard-sizes"

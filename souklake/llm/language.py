@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souklake.llm.common import whole
+from souklake.llm.common import ship, whole
 
 SAMPLE_ROWS = 64
 SAMPLE_TEXT = 20_000
@@ -189,6 +189,7 @@ def predict(docs: DataFrame, sample: dict[str, list[str]], doc_id="doc_id", text
     A null text and a text without a letter are ``und`` with score 0, as is everything without a sample.
     Equal entropies go to the language that sorts first. Nothing but the text enters a prediction.
     """
+    ship(docs.sparkSession)
     learned = tuple((language, tuple(texts)) for language, texts in sorted(sample.items()))
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
 

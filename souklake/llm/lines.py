@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from souklake.llm.common import BLANKS, lower_ascii, store, whole
+from souklake.llm.common import BLANKS, lower_ascii, ship, store, whole
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -122,6 +122,7 @@ def keep_bitmaps(
     Documents are told apart by id and text, so rows that repeat an id keep their own bitmaps. A null text
     is one empty line; a missing id counts as one document, smaller than all others.
     """
+    ship(docs.sparkSession)
     body = whole(text)
     lines = line_hashes(docs, doc_id, text, min_chars)
     order = ["h1", "h2", F.desc("doc")]

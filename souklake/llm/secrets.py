@@ -18,7 +18,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souklake.llm.common import whole
+from souklake.llm.common import ship, whole
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # How a text is cut before its pieces are spelled in tokens; only key characters come here.
@@ -102,6 +102,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     A null text counts as empty. Repeated rows give repeated results; an empty table gives no rows; other
     columns are ignored. Texts are handled one by one, so memory is bounded by a batch and the longest text.
     """
+    ship(docs.sparkSession)
     ranks = read_vocabulary(vocabulary)
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
 
@@ -126,6 +127,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
 
 def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", vocabulary: str = VOCABULARY) -> DataFrame:
     """``docs`` with every span of the text replaced by ``mask``; null texts stay null."""
+    ship(docs.sparkSession)
     ranks = read_vocabulary(vocabulary)
 
     @F.udf("string", useArrow=True)

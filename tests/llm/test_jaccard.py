@@ -138,6 +138,18 @@ def test_similar_sets_always_share_a_signature():
         assert len(shared), (trial, len(a), len(b), common, share)
 
 
+def test_profiles_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        base = rng.integers(0, 1 << 63, rng.integers(1, 2_000), dtype=np.uint64)
+        a = np.unique(base[: rng.integers(1, len(base) + 1)])
+        b = np.unique(np.concatenate((base[rng.integers(0, len(base)) :], rng.integers(0, 1 << 63, rng.integers(0, 300), dtype=np.uint64))))
+        difference = len(a) + len(b) - 2 * len(np.intersect1d(a, b))
+        assert jaccard.profile_distance(jaccard.profile(a), jaccard.profile(b)) <= difference
+    skewed = np.arange(0, 1 << 20, 1 << 10, dtype=np.uint64)  # all in one bucket, beyond what a counter holds
+    assert jaccard.profile_distance(jaccard.profile(skewed), jaccard.profile(skewed[:300])) <= len(skewed) - 300
+
+
 def test_null_empty_and_repeated_rows(documents):
     rows = [(5, None), (6, ""), (7, " \n"), (8, "a b"), (3, "A  B"), (9, "a b c"), (9, "a b c"), (4, "one two three four five six")]
     want = [(3, 1, 3), (4, 2, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7), (8, 1, 3), (9, 1, 9), (9, 1, 9)]
