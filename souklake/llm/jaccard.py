@@ -40,6 +40,9 @@ SHINGLE = 5
 THRESHOLD = (75, 100)
 # Segments per band, as a share of the band's largest size.
 SEGMENT_SHARE = 0.6
+# Sets index more signatures than they must, one per so many shingles and MOST_SPARE at most; each is one more
+# that similar sets are known to share, and rules out pairs that share fewer.
+SIZE_PER_SPARE, MOST_SPARE = 16, 16
 # Counters of the sketch; a shingle is frequent when its counter reaches this share of the documents.
 SKETCH_BITS = 19
 SKETCH_BLOCKS = 32
@@ -105,12 +108,14 @@ class Allocation:
         """A set is indexed in its own band, and in those of larger sets that it may be similar to."""
         return range(n.bit_length() - 1, self.largest_partner(n).bit_length())
 
-    def signatures(self, items: np.ndarray) -> np.ndarray:
+    def signatures(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures, and for each how many of them a similar set must share."""
         rare = ~self.frequent[items & _U((1 << SKETCH_BITS) - 1)]
         values = _mix(items + _K)
-        return np.unique(np.concatenate([self._in_band(items, rare, values, band) for band in self.bands(len(items))]))
+        found = [self._in_band(items, rare, values, band) for band in self.bands(len(items))]
+        return np.concatenate([sigs for sigs, _ in found]), np.repeat([s for _, s in found], [len(x) for x, _ in found])
 
-    def _in_band(self, items: np.ndarray, rare: np.ndarray, values: np.ndarray, band: int) -> np.ndarray:
+    def _in_band(self, items: np.ndarray, rare: np.ndarray, values: np.ndarray, band: int) -> tuple[np.ndarray, int]:
         n, top = len(items), (2 << band) - 1
         need = self.differences(n, min(self.largest_partner(n), top)) + 1
         segments = max(1, int(SEGMENT_SHARE * (top + 1)))
@@ -124,8 +129,10 @@ class Allocation:
         whole = _mix(total + salt)
         cheap = n_rare > 0
         order = np.lexsort((whole, -size, ~cheap))
-        if cheap.sum() >= need:
-            return whole[order[:need]]
+        # With s signatures beyond H, two sets share at least the smaller of their s.
+        spare = min(1 + n // SIZE_PER_SPARE, MOST_SPARE, int(cheap.sum()) - need + 1)
+        if spare >= 1:
+            return whole[order[: need - 1 + spare]], spare
         taken = [whole[cheap]]
         rich = np.repeat(n_rare > 1, size)
         of = np.repeat(np.arange(len(start)), size)[rich]
@@ -135,7 +142,7 @@ class Allocation:
             if len(start) < need:
                 single = np.lexsort((values, ~rare))[:need]
                 taken.append(_mix(values[single] ^ _U(0xA0761D6478BD642F * (band + 1) % (1 << 64))))
-        return np.concatenate(taken)
+        return np.unique(np.concatenate(taken)), 1
 
 
 def _describe(size: int):
@@ -205,7 +212,9 @@ def _frequent(described: DataFrame, n_docs: int) -> bytes:
 
 
 _BLOB = "part int, kind int, sigs binary, nodes binary, sizes binary"
-_FOUND = "sig long, u long, v long, n int"
+_FOUND = "sig long, u long, v long, n int, need int"
+# A row's size and the number of lists that a similar set must share, in one number.
+_NEED = 40
 # Rows of signatures; one row of each signature that is crowded in a batch; the rows of those signatures.
 PLAIN, CROWDED, MEMBER = 0, 1, 2
 
@@ -225,11 +234,11 @@ def _index(threshold: tuple[int, int], frequent: bytes, parts: int, size: int):
         schema = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("sigs", pa.binary()),
                             ("nodes", pa.binary()), ("sizes", pa.binary())])
 
-        def packed(found: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
+        def packed(found: list[tuple[np.ndarray, int, np.ndarray]]) -> pa.RecordBatch:
             lengths = [len(sigs) for sigs, _, _ in found]
             sigs = np.concatenate([sigs for sigs, _, _ in found])
             nodes = np.repeat(np.array([node for _, node, _ in found], dtype=np.int64), lengths)
-            sizes = np.repeat(np.array([n for _, _, n in found], dtype=np.int32), lengths)
+            sizes = np.concatenate([told for _, _, told in found])
             order = np.argsort(sigs, kind="stable")
             start, count = _runs(sigs[order])
             many = np.repeat(count > BATCH_LIST, count)
@@ -255,8 +264,8 @@ def _index(threshold: tuple[int, int], frequent: bytes, parts: int, size: int):
                 if node in seen:
                     continue
                 seen.add(node)
-                sigs = allocation.signatures(items)
-                found.append((sigs, node, len(items)))
+                sigs, need = allocation.signatures(items)
+                found.append((sigs, node, (need.astype(np.int64) << _NEED) + len(items)))
                 waiting += len(sigs)
                 if waiting >= FLUSH_ENTRIES:
                     yield packed(found)
@@ -268,15 +277,15 @@ def _index(threshold: tuple[int, int], frequent: bytes, parts: int, size: int):
 
 
 def _join_part(threshold: tuple[int, int]):
-    """Of one part: pairs of sets (u, v) with the number of short lists they share, and members (sig, u) of size n of
-    the lists that are too long to be paired off at once."""
+    """Of one part: pairs of sets (u, v) with the number n of short lists they share and the number they need, and
+    members (sig, u) of size n of the lists that are too long to be paired off at once."""
     num, den = threshold
 
     def run(table: pa.Table) -> pa.Table:
         kinds = np.array(table.column("kind").to_pylist())
 
         def rows_of(*wanted: int) -> tuple[np.ndarray, ...]:
-            types = {"sigs": np.uint64, "nodes": np.int64, "sizes": np.int32}
+            types = {"sigs": np.uint64, "nodes": np.int64, "sizes": np.int64}
             pick = np.flatnonzero(np.isin(kinds, wanted))
             return tuple(
                 np.concatenate([np.frombuffer(table.column(c)[int(i)].as_py(), dtype=t) for i in pick])
@@ -297,31 +306,36 @@ def _join_part(threshold: tuple[int, int]):
         live = rows_of(MEMBER)
         live = tuple(np.concatenate((a[member], b)) for a, b in zip((sigs, nodes, sizes), live))
 
-        pairs_u, pairs_v = [], []
+        needs, sizes = sizes >> _NEED, sizes & ((1 << _NEED) - 1)
+        pairs_u, pairs_v, pairs_need = [], [], []
         for k in range(2, SHORT_LIST + 1):
             lists = start[(count == k) & ~long_]
             for i in range(k if len(lists) else 0):
                 for j in range(i + 1, k):
                     a, b = lists + i, lists + j
                     small, large = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-                    fit = small.astype(np.int64) * den >= large.astype(np.int64) * num
+                    fit = small * den >= large * num
                     pairs_u.append(nodes[a[fit]])
                     pairs_v.append(nodes[b[fit]])
+                    pairs_need.append(np.minimum(needs[a[fit]], needs[b[fit]]))
         none = [np.empty(0, dtype=np.int64)]
-        u, v = np.concatenate(pairs_u or none), np.concatenate(pairs_v or none)  # nodes are sorted within a list, so u < v
-        order = np.lexsort((v, u))
-        u, v = u[order], v[order]
+        # Nodes are sorted within a list, so u < v; the smallest need of a pair comes first.
+        u, v, need = (np.concatenate(x or none) for x in (pairs_u, pairs_v, pairs_need))
+        order = np.lexsort((need, v, u))
+        u, v, need = u[order], v[order], need[order]
         new = np.ones(len(u), dtype=bool)
         new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
         at = np.flatnonzero(new)
         votes = np.diff(np.append(at, len(u)))
-        schema = pa.schema([("sig", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("n", pa.int32())])
+        schema = pa.schema([("sig", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("n", pa.int32()),
+                            ("need", pa.int32())])
         lone, paired = len(live[0]), len(at)
         columns = [
             pa.concat_arrays([pa.array(live[0].view(np.int64)), pa.nulls(paired, pa.int64())]),
             pa.array(np.concatenate((live[1], u[at]))),
             pa.concat_arrays([pa.nulls(lone, pa.int64()), pa.array(v[at])]),
-            pa.array(np.concatenate((live[2], votes)).astype(np.int32)),
+            pa.array(np.concatenate((live[2] & ((1 << _NEED) - 1), votes)).astype(np.int32)),
+            pa.array(np.concatenate((live[2] >> _NEED, need[at])).astype(np.int32)),
         ]
         return pa.Table.from_arrays(columns, schema=schema)
 
@@ -466,11 +480,14 @@ def similar_nodes(
         .applyInArrow(_join_part(threshold), _FOUND),
         "jaccard-found",
     )
-    pairs = store(
-        found.where("v is not null").groupBy("u", "v").agg(F.sum("n").alias("votes")), "jaccard-pairs"
+    votes = store(
+        found.where("v is not null").groupBy("u", "v").agg(F.sum("n").alias("votes"), F.min("need").alias("need")),
+        "jaccard-votes",
     )
+    # A pair that also shares a long list is looked at there, so here the lists it shares are all it has.
+    pairs = votes.where("votes >= need")
     live = store(
-        found.where("sig is not null").select("sig", F.col("u").alias("node"), "n").distinct(), "jaccard-live"
+        found.where("sig is not null").select("sig", F.col("u").alias("node"), "n", "need").distinct(), "jaccard-live"
     )
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(live.select("node")).distinct()
     texts = _texts(docs, info, nodes, size)
@@ -515,10 +532,16 @@ def similar_nodes(
         if not total["k"]:
             todo = None
         elif done:
-            a = members.select("sig", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("c").alias("cu"))
-            b = members.select("sig", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("c").alias("cv"))
-            crossed = a.join(b, "sig").where((F.col("cu") < F.col("cv")) & fits("nu", "nv"))
-            todo = crossed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+            a, b = (
+                members.select("sig", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "c", "need")))
+                for side in "ab"
+            )
+            crossed = a.join(b, "sig").where((F.col("c_a") < F.col("c_b")) & fits("n_a", "n_b"))
+            shared = crossed.groupBy(
+                F.least("node_a", "node_b").alias("u"), F.greatest("node_a", "node_b").alias("v")
+            ).agg(F.count("*").alias("long"), F.min(F.least("need_a", "need_b")).alias("needed"))
+            enough = F.col("long") + F.coalesce("votes", F.lit(0)) >= F.least("needed", "need")
+            todo = shared.join(votes, ["u", "v"], "left").where(enough).select("u", "v")
         else:
             todo = best(stars(members, round_))
         if rest is not None:

@@ -134,8 +134,10 @@ def test_similar_sets_always_share_a_signature():
         for item in {*base, *other}:
             bits[item & mask] |= rng.random() < share
         allocation = jaccard.Allocation((75, 100), np.packbits(bits).tobytes())
-        shared = np.intersect1d(allocation.signatures(a), allocation.signatures(b))
+        (sigs_a, need_a), (sigs_b, need_b) = allocation.signatures(a), allocation.signatures(b)
+        shared, at_a, at_b = np.intersect1d(sigs_a, sigs_b, return_indices=True)
         assert len(shared), (trial, len(a), len(b), common, share)
+        assert len(shared) >= np.minimum(need_a[at_a], need_b[at_b]).min(), (trial, len(a), len(b), common, share)
 
 
 def test_profiles_never_differ_more_than_the_sets():
