@@ -10,7 +10,8 @@ cutoff is used at which the labelled documents show two things:
   one can only break its limit if the laxest cutoff that breaks it was accepted too; they need no further
   correction. Together, at most ``RISK`` of a stratum's good documents are rejected, with confidence
   ``CONFIDENCE`` for all strata at once.
-- It pays: it rejects at least ``GAIN`` labelled bad documents for each good one, and one at least.
+- It pays: it rejects at least ``GAIN`` labelled bad documents for each good one, and one at least. Bad documents
+  that an earlier rule may claim do not count, so no rule costs good documents for what another one finds.
 
 Without enough labels no cutoff can show this, and the rule rejects nothing there.
 
@@ -172,12 +173,13 @@ def choose_cutoffs(
     marks = labels.groupBy(doc_id).agg(F.min("quality").alias("_quality"))
     good, bad = F.col("_quality") == 1, F.col("_quality") == 0
     holdout = measured.where(~base_failed()).join(marks, doc_id)
-    counted = []
+    counted, claimed = [], F.lit(False)
     for rule in rules:
         for i, cutoff in enumerate(rule.cutoffs):
             rejected = rule.rejects(cutoff)
             counted.append(F.count_if(rejected & good).alias(f"{rule.name}_{i}_wrong"))
-            counted.append(F.count_if(rejected & bad).alias(f"{rule.name}_{i}_right"))
+            counted.append(F.count_if(rejected & bad & ~claimed).alias(f"{rule.name}_{i}_right"))
+        claimed = claimed | F.coalesce(rule.rejects(rule.cutoffs[0]), F.lit(False))
     counts = holdout.groupBy(F.col(stratum).alias("_stratum")).agg(F.count_if(good).alias("n"), *counted)
     counts = store(counts, "quality-counts")
     limit, level = risk / len(rules), (1 - confidence) / (max(1, counts.count()) * len(rules))

@@ -87,6 +87,16 @@ def test_false_rejections_stay_within_the_risk(spark, documents):
     assert judged.where(~F.col("kept")).count() == 0
 
 
+def test_a_rule_earns_nothing_by_what_another_one_finds(spark, documents):
+    """Bad documents full of symbols; a few good ones with digits, which the rule on letters would reject."""
+    digits = " ".join(str(10_000 + k) for k in range(60))
+    rows = [(i, plain(i), "en", "a") for i in range(3000)] + [(3000 + i, digits, "en", "a") for i in range(2)]
+    rows += [(5000 + i, plain(i, "***"), "en", "a") for i in range(50)]
+    labels = [(r[0], int(r[0] < 5000)) for r in rows]
+    judged = quality.judge(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert sorted(r["doc_id"] for r in judged.where(~F.col("kept")).collect()) == list(range(5000, 5050))
+
+
 def test_contradicting_and_repeated_labels_and_empty_tables(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.judge(documents([]), none).count() == 0
