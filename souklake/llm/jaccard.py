@@ -18,7 +18,8 @@ Sets with equal signatures are candidates. Short lists are paired off. Groups of
 into all pairs: every set is first compared with the one it shares most lists with, in long lists with the
 list's hub only, and verified links are contracted into components. After that, pairs of short lists that
 are not in one component are verified, and long lists are treated the same way until all pairs of sets that
-share a list but not a component are few enough to be verified one by one. Equal sets are one node from the
+share a list but not a component are few enough to be verified one by one. Where they are not, the sets outside a
+list's largest component are held against the texts of all open lists, block by block. Equal sets are one node from the
 start. Shingles, sets and signatures are 64-bit hashes; texts are compared by their full sets of shingles.
 """
 
@@ -56,6 +57,8 @@ SHORT_LIST, BATCH_LIST = 32, 64
 # Star rounds over the long lists go on while all their open pairs are more than this many per row of theirs,
 # as long as a round still links at least so large a share of the sets that it compares.
 OPEN_PAIRS, FRUITFUL, MAX_ROUNDS = 16, 0.05, 6
+# Open pairs are scanned for instead, in blocks of so many sets, where they outnumber the scanned rows so many times.
+BLOCK_SETS, PAIRS_PER_SCAN = 500, 32
 # Candidates up to this many (some 64 bytes each) find their texts by a broadcast, more of them by a shuffle.
 BROADCAST_NODES = 500_000
 
@@ -456,6 +459,52 @@ def _texts(docs: DataFrame, info: DataFrame, nodes: DataFrame, size: int) -> Dat
     return store(found, "jaccard-texts")
 
 
+def _scan(threshold: tuple[int, int], size: int, block: list[tuple[int, np.ndarray]]):
+    """Links (u, v) between the sets of a block and every text that streams by, by counting common shingles."""
+    num, den = threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.array([node for node, _ in block], dtype=np.int64)
+        sizes = np.array([len(items) for _, items in block], dtype=np.int64)
+        tokens = np.concatenate([items for _, items in block])
+        order = np.argsort(tokens, kind="stable")
+        owners, tokens = np.repeat(np.arange(len(block)), sizes)[order], tokens[order]
+        for batch in batches:
+            u, v = [], []
+            for node, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                items = shingles(body.as_py(), size)
+                first, last = np.searchsorted(tokens, items, "left"), np.searchsorted(tokens, items, "right")
+                met = last > first
+                first, count = first[met], (last - first)[met]
+                places = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+                common = np.bincount(owners[places], minlength=len(block))
+                similar = names[(common * den >= (len(items) + sizes - common) * num) & (names != node)]
+                u += [min(node, int(other)) for other in similar]
+                v += [max(node, int(other)) for other in similar]
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    return run
+
+
+def _block_links(members: DataFrame, stragglers: DataFrame, texts: DataFrame, n: int, threshold, size: int) -> DataFrame:
+    """Links of the straggling sets to all sets of open lists: block after block of the stragglers, each held by
+    the driver for one pass over the others' texts. No pair of sets is ever a row unless it is linked."""
+    blocks = -(-n // BLOCK_SETS)
+    queries = store(
+        stragglers.join(texts, "node").select("node", "text", F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block")),
+        "jaccard-stragglers",
+    )
+    others = store(members.select("node").distinct().join(texts, "node").select("node", "text"), "jaccard-others")
+    links = None
+    for block in range(blocks):
+        rows = queries.where(F.col("block") == block).select("node", "text").collect()
+        if rows:
+            held = [(row["node"], shingles(row["text"], size)) for row in rows]
+            found = store(others.mapInArrow(_scan(threshold, size, held), "u long, v long").distinct(), "jaccard-links")
+            links = found if links is None else links.union(found)
+    return links
+
+
 def _name(frame: DataFrame, node: str, name: str, components: DataFrame) -> DataFrame:
     """``frame`` with the component of a node, which is the node itself where it has no links."""
     known = components.select(F.col("node").alias(node), F.col("component").alias(name))
@@ -529,7 +578,18 @@ def similar_nodes(
             F.sum("k").alias("k"), F.sum("p").alias("p")
         ).first()
         done = not total["k"] or total["p"] <= OPEN_PAIRS * total["k"] or round_ > MAX_ROUNDS or not fruitful
-        if not total["k"]:
+        scanned = None
+        if done and total["k"]:
+            # Of any two components in a list, one is not the list's largest: its sets straggle.
+            largest = members.groupBy("sig", "c").agg(F.count("*").alias("k")).groupBy("sig").agg(
+                F.max(F.struct("k", "c")).alias("largest")
+            )
+            stragglers = members.join(largest, "sig").where(F.col("c") != F.col("largest.c")).select("node").distinct()
+            stragglers = store(stragglers, "jaccard-stragglers")
+            n_open, n_stragglers = members.select("node").distinct().count(), stragglers.count()
+            if total["p"] > PAIRS_PER_SCAN * n_open * -(-n_stragglers // BLOCK_SETS):
+                scanned = _block_links(members, stragglers, texts, n_stragglers, threshold, size)
+        if not total["k"] or scanned is not None:
             todo = None
         elif done:
             a, b = (
@@ -549,10 +609,13 @@ def similar_nodes(
             crossed = _name(_name(rest, "u", "cu", components), "v", "cv", components).where("cu <> cv")
             todo = crossed.select("u", "v") if todo is None else todo.union(crossed.select("u", "v"))
             rest = None
-        if todo is None:
+        if todo is None and scanned is None:
             break
+        if todo is None:
+            todo = tried.limit(0)
         todo = store(todo.distinct().join(tried, ["u", "v"], "left_anti"), "jaccard-tried")
-        new = store(_verify(todo, texts, threshold, size), "jaccard-links")
+        new = _verify(todo, texts, threshold, size)
+        new = store(new if scanned is None else new.union(scanned), "jaccard-links")
         tried, n_new = tried.union(todo), new.count()
         fruitful = n_new >= FRUITFUL * todo.count()
         if n_new:

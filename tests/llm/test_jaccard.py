@@ -110,6 +110,21 @@ def test_star_rounds_find_what_all_pairs_find(documents, monkeypatch):
     assert got(documents(rows)) == expected(rows)
 
 
+def test_scanning_in_blocks_finds_what_pairs_find(documents, monkeypatch):
+    """A family of copies around the limit: many members, many that are similar to few others."""
+    rng = random.Random(11)
+    base = [f"t{k}" for k in range(60)]
+    rows = [(i, " ".join(mutate(rng, base, rng.randrange(1, 5)))) for i in range(160)]
+    monkeypatch.setattr(jaccard, "SHORT_LIST", 4)
+    monkeypatch.setattr(jaccard, "MAX_ROUNDS", 0)
+    monkeypatch.setattr(jaccard, "PAIRS_PER_SCAN", 0)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 30)
+    scans = []
+    monkeypatch.setattr(jaccard, "_block_links", lambda *a, run=jaccard._block_links: scans.append(a[3]) or run(*a))
+    assert got(documents(rows)) == expected(rows)
+    assert scans and scans[0] > 30
+
+
 @pytest.mark.parametrize("threshold", [(1, 2)])
 def test_other_thresholds(documents, threshold):
     rows = corpus(random.Random(6), groups=10)
