@@ -2,8 +2,12 @@
 
 The base finds assigned passwords and keys, access key ids and long hexadecimal strings. The method looks at
 the long runs of key characters that remain: natural language, names and paths fall into tokens of several
-characters, random strings do not. Runs with few characters per token are secrets, unless they are known kinds
-of digests (of the usual lengths) or identifiers (UUIDs, numbers, dates, addresses).
+characters, random strings do not. Runs with few characters per token are secrets, whatever their alphabet.
+
+Left out of the count are digests (of the usual lengths), UUIDs, and numbers and times between separators; a run
+that consists of these and of separators by more than a third is an identifier, and so is a short piece repeated
+all over. Random keys are hardly ever of these forms. Capitals may be spelled in lower case, as constants are.
+Where a path or an address as a whole is no secret, its parts between slashes are looked at.
 """
 
 from __future__ import annotations
@@ -36,13 +40,13 @@ KINDS = ("assign", "access", "hex", "random")
 # Runs that may be keys, how long they must be, and the largest ratio of characters to tokens of a random one.
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 MAX_RATIO = 2.1
-# A random key of this length has letters of both cases, or letters and digits, mixed all over.
-MIN_SWITCHES = 5
+MIN_RUN = 20
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_SIZES = frozenset((32, 40, 48, 56, 64, 96, 128))
-IDENTIFIER = re.compile(
-    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\Z|[0-9+/_=-]+\Z|//|[A-Za-z]+(?:[_/=-][A-Za-z]*)*\Z"
-)
+UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\Z")
+PIECE = re.compile(r"[A-Za-z0-9]+")
+NUMBER = re.compile(r"[0-9]*(?:T[0-9]+)?Z?\Z")
+REPEATED = re.compile(r"(.{1,5}?)\1{3,}.{0,4}\Z")
 _SCHEMA = "n_assign long, n_access long, n_hex long, spans array<struct<kind:string,start:int,end:int>>"
 
 
@@ -73,26 +77,78 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def _switches(run: str) -> int:
-    """Places where a letter meets a digit, or a small letter is followed by a capital or the reverse."""
-    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "" for c in run]
-    return sum(a != b for a, b in zip(kinds, kinds[1:]) if a and b)
+def _spelled(run: str, vocabulary: tiktoken.Encoding) -> tuple[int, int]:
+    """Characters and tokens of a run, without separators, digests, UUIDs and numbers."""
+    chars = tokens = 0
+    for part in run.split("/"):
+        if UUID.match(part) or DIGEST.match(part) and len(part) in DIGEST_SIZES:
+            continue
+        for piece in PIECE.findall(part):
+            if not NUMBER.match(piece):
+                chars += len(piece)
+                spellings = {piece, piece.lower()} if piece.isupper() else {piece}
+                tokens += min(len(vocabulary.encode_ordinary(spelling)) for spelling in spellings)
+    return chars, tokens
 
 
 def is_random(run: str, vocabulary: tiktoken.Encoding, max_ratio: float = MAX_RATIO) -> bool:
-    if IDENTIFIER.match(run) or DIGEST.match(run) and len(run) in DIGEST_SIZES:
+    if REPEATED.match(run):
         return False
-    return _switches(run) >= MIN_SWITCHES and len(run) <= max_ratio * len(vocabulary.encode_ordinary(run))
+    chars, tokens = _spelled(run, vocabulary)
+    return 3 * chars >= 2 * len(run) and chars <= max_ratio * tokens
+
+
+def random_parts(run: str, vocabulary: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """(start, end) of what is random in a run: all of it, or else stretches of its parts between slashes.
+
+    A key may contain slashes itself, so neighbouring parts are joined as long as their tokens outweigh words.
+    """
+    lead = len(run) - len(run.lstrip("/")) if run.startswith("//") else 0
+    if len(run) - lead >= MIN_RUN and is_random(run[lead:], vocabulary):
+        return [(lead, len(run))]
+    if "/" not in run:
+        return []
+    parts, weights, found, at = [], [], [], 0
+    for part in run.split("/"):
+        chars, tokens = _spelled(part, vocabulary)
+        parts.append((at, at + len(part)))
+        weights.append(MAX_RATIO * tokens - chars if chars else -len(part))
+        at += len(part) + 1
+
+    def check(first: int, last: int) -> bool:
+        start, end = parts[first][0], parts[last][1]
+        if end - start < MIN_RUN or not is_random(run[start:end], vocabulary):
+            return False
+        found.append((start, end))
+        return True
+
+    first = 0
+    while first < len(parts):
+        total, best, last = 0.0, 0.0, -1
+        for i in range(first, len(parts)):
+            total += weights[i]
+            if total > best:
+                best, last = total, i
+            if total < 0:
+                break
+        if last < 0:
+            first += 1
+            continue
+        if not check(first, last):
+            for i in range(first, last + 1):
+                check(i, i)
+        first = last + 1
+    return found
 
 
 def find_spans(text: str, vocabulary: tiktoken.Encoding) -> list[tuple[int, int, int]]:
     """All spans of a text, by start and then by kind; added ones never overlap those of the base."""
     spans = base_spans(text)
-    if any(len(word) >= 20 for word in text.split()):
+    if any(len(word) >= MIN_RUN for word in text.split()):
         taken = sorted((start, end) for start, _, end in spans)
         for m in RUN.finditer(text):
-            if not any(start < m.end() and m.start() < end for start, end in taken) and is_random(m[0], vocabulary):
-                spans.append((m.start(), 3, m.end()))
+            if not any(start < m.end() and m.start() < end for start, end in taken):
+                spans += [(m.start() + start, 3, m.start() + end) for start, end in random_parts(m[0], vocabulary)]
     return sorted(spans)
 
 

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import string
 import uuid
 
 import pytest
@@ -70,6 +71,39 @@ def test_random_keys_are_found_and_words_digests_and_identifiers_are_not():
     assert [run for run in clean if secrets.is_random(run, words)] == []
 
 
+@pytest.mark.parametrize("length", [20, 24, 32, 40])
+@pytest.mark.parametrize(
+    "alphabet",
+    [string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters, string.ascii_uppercase + "234567",
+     string.ascii_lowercase + string.digits, string.ascii_letters + string.digits + "-_", string.ascii_letters + string.digits + "+/"],
+)
+def test_random_keys_of_any_alphabet_are_found(alphabet, length):
+    rng = random.Random(12)
+    words = secrets.encoding(secrets.read_vocabulary())
+    keys = ["".join(rng.choices(alphabet, k=length)) for _ in range(300)]
+    assert sum(secrets.is_random(key, words) for key in keys) >= 0.97 * 300
+
+
+def test_keys_in_paths_are_found_and_paths_numbers_and_times_are_not():
+    rng = random.Random(13)
+    words = secrets.encoding(secrets.read_vocabulary())
+
+    def found(text):
+        return [text[start:end] for start, _, end in secrets.find_spans(text, words)]
+
+    key = "".join(rng.choices(string.ascii_lowercase, k=32))
+    name = "internationalisation/configuration/organisation"
+    assert found(f"see https://{name}/{key}/{name} there") == [key]
+    assert found(f"//{key}") == found(key) == [key]
+    slashed = "q9Zr7TtXb2LwK/4mVn8PsYd3HfG/6jC1aEx0"
+    assert found(f"//{name}/{name}/{slashed}") == [slashed]
+    assert found(f"{uuid.UUID(int=rng.getrandbits(128))}/{key}/2024-01-02/{'a/b/' * 20}") == [key]
+    clean = ["//" + name, f"//localhost/{uuid.UUID(int=rng.getrandbits(128))}", "MAX_CONNECTION_POOL_SIZE_LIMIT"]
+    clean += ["RECHTSSCHUTZVERSICHERUNGSGESELLSCHAFTEN", "Donaudampfschifffahrtsgesellschaft", "ab" * 15, "x_y_z_" * 5]
+    clean += ["blog/2024/01/02/03/04", "2024-01-02T10-20-30Z", "20240102T102030Z00001", "v1-2-3-4-5-6-7-8-9-10-11", "a/" * 5000 + "b"]
+    assert [run for run in clean if found(run)] == []
+
+
 def test_added_spans_do_not_touch_the_base(documents):
     key = "q9Zr7TtXb2LwK4mVn8PsYd3HfG6jC1aE"
     got = scanned(documents([(1, f"see {key} or token={key} é")]))[1]
