@@ -1,19 +1,23 @@
 """Quality rules whose cutoffs are chosen from labelled documents under exact binomial bounds.
 
 Two fixed base rules reject texts that are too short or mostly repeated. Each further rule measures one share
-of a text and comes with a fixed ladder of cutoffs. For every stratum (language) and rule, the strictest
-cutoff is used at which the labelled documents show two things:
-
-- The rule wrongly rejects at most its part of the allowed risk: the exact one-sided (Clopper-Pearson) upper
-  bound of its false rejection rate among good documents lies below ``RISK`` / number of rules, at an error
-  level corrected for all strata and rules (Bonferroni). The cutoffs of one ladder are nested, so the chosen
-  one can only break its limit if the laxest cutoff that breaks it was accepted too; they need no further
-  correction. Together, at most ``RISK`` of a stratum's good documents are rejected, with confidence
-  ``CONFIDENCE`` for all strata at once.
-- It pays: it rejects at least ``GAIN`` labelled bad documents for each good one, and one at least. Bad documents
+of a text and comes with a fixed ladder of cutoffs. Per stratum (language), the rules spend the allowed risk
+together, in their order. One in ``PILOT`` labelled good documents, picked by hash, and the bad ones choose;
+the other good ones prove:
+
+- Chosen is the strictest cutoff that pays: it rejects at least ``GAIN`` labelled bad documents for each good one,
+  at the pilot's rate, and one at least. It must also be likely to be proven, as far as the pilot tells. Bad documents
   that an earlier rule may claim do not count, so no rule costs good documents for what another one finds.
+- Proven is what the rules so far and the new one reject together: the exact one-sided (Clopper-Pearson) upper
+  bound of the false rejection rate of their union lies below ``RISK``, at an error level corrected for all strata
+  (Bonferroni). If the chosen cutoff cannot be proven, the strictest laxer one that can is used, and no later rule.
+
+The proving documents see one sequence of unions, each containing the one before, that was fixed without them; it
+ends where one is refused. So only the first union that breaks the limit can be accepted wrongly, and needs no
+further correction: at most ``RISK`` of a stratum's good documents are rejected, with confidence ``CONFIDENCE`` for
+all strata at once.
 
-Without enough labels no cutoff can show this, and the rule rejects nothing there.
+Without enough labels nothing can be proven, and only the base rules reject there.
 
 Everything runs as DataFrame expressions: measures are computed per row, and only counts are shuffled.
 """
@@ -35,6 +39,7 @@ SYMBOLS = "#*$%&|<>"
 RISK = 0.02
 CONFIDENCE = 0.95
 GAIN = 4
+PILOT = 5
 # More strata than this are joined instead of broadcast.
 BROADCAST_STRATA = 10_000
 
@@ -171,28 +176,58 @@ def choose_cutoffs(
 ) -> DataFrame:
     """One row per stratum: its number of labelled good documents, and the chosen cutoff of each rule or null."""
     marks = labels.groupBy(doc_id).agg(F.min("quality").alias("_quality"))
-    good, bad = F.col("_quality") == 1, F.col("_quality") == 0
+    good, bad, pilot = F.col("_quality") == 1, F.col("_quality") == 0, F.col("_pilot")
     holdout = measured.where(~base_failed()).join(marks, doc_id)
-    counted, claimed = [], F.lit(False)
-    for rule in rules:
-        for i, cutoff in enumerate(rule.cutoffs):
-            rejected = rule.rejects(cutoff)
-            counted.append(F.count_if(rejected & good).alias(f"{rule.name}_{i}_wrong"))
-            counted.append(F.count_if(rejected & bad & ~claimed).alias(f"{rule.name}_{i}_right"))
-        claimed = claimed | F.coalesce(rule.rejects(rule.cutoffs[0]), F.lit(False))
-    counts = holdout.groupBy(F.col(stratum).alias("_stratum")).agg(F.count_if(good).alias("n"), *counted)
-    counts = store(counts, "quality-counts")
-    limit, level = risk / len(rules), (1 - confidence) / (max(1, counts.count()) * len(rules))
+    holdout = store(holdout.withColumn("_pilot", F.pmod(F.xxhash64(doc_id), F.lit(PILOT)) == 0), "quality-holdout")
+    strata = holdout.groupBy(F.col(stratum).alias("_stratum")).agg(
+        F.count_if(good).alias("n"), F.count_if(good & pilot).alias("_n_pilot"), F.lit(True).alias("_open")
+    )
+    strata = store(strata, "quality-strata")
+    n_strata = strata.count()
+    level = (1 - confidence) / max(1, n_strata)
+    n_proof = F.col("n") - F.col("_n_pilot")
 
-    def strictest(rule: Rule) -> Column:
-        accepted = []
-        for i, cutoff in enumerate(rule.cutoffs):
-            wrong, right = F.col(f"{rule.name}_{i}_wrong"), F.col(f"{rule.name}_{i}_right")
-            safe = binomial_tail(wrong, F.col("n"), limit) <= level
-            accepted.append(F.when(safe & (right >= F.greatest(wrong * GAIN, F.lit(1))), F.lit(float(cutoff))))
-        return F.coalesce(*accepted).alias(rule.name)
+    def safe(wrong: Column) -> Column:
+        return binomial_tail(wrong, n_proof, risk) <= level
 
-    return counts.select("_stratum", "n", *(strictest(rule) for rule in rules))
+    used, claimed = F.lit(False), F.lit(False)
+    for at, rule in enumerate(rules):
+        counted = [F.count_if(used & good & pilot).alias("_used")]
+        for i, cutoff in enumerate(rule.cutoffs):
+            rejected = F.coalesce(rule.rejects(cutoff), F.lit(False))
+            counted.append(F.count_if((used | rejected) & good & pilot).alias(f"_pilot_{i}"))
+            counted.append(F.count_if((used | rejected) & good & ~pilot).alias(f"_proof_{i}"))
+            counted.append(F.count_if(rejected & bad & ~claimed).alias(f"_right_{i}"))
+        known = F.broadcast(strata) if n_strata <= BROADCAST_STRATA else strata
+        rows = holdout.join(known, F.col(stratum).eqNullSafe(F.col("_stratum")))
+        counts = rows.groupBy(*strata.columns).agg(*counted)
+        pays, likely, proven = [], [], []
+        for i in range(len(rule.cutoffs)):
+            seen, right = F.col(f"_pilot_{i}"), F.col(f"_right_{i}")
+            pays.append((right >= 1) & (right * F.col("_n_pilot") >= GAIN * (seen - F.col("_used")) * F.col("n")))
+            expected = F.try_divide((seen + F.sqrt(seen)) * n_proof, F.col("_n_pilot"))
+            likely.append(safe(F.coalesce(F.ceil(expected), F.lit(0)).cast("long")))
+            proven.append(safe(F.col(f"_proof_{i}")))
+        wanted = F.coalesce(*(F.when(F.col("_open") & p & q, F.lit(i)) for i, (p, q) in enumerate(zip(pays, likely))))
+        counts = counts.withColumn("_wanted", wanted)
+        found = F.coalesce(
+            *(F.when((F.col("_wanted") <= i) & p & q, F.lit(i)) for i, (p, q) in enumerate(zip(pays, proven)))
+        )
+        counts = counts.withColumn("_found", found)
+        going = F.col("_open") & F.coalesce(F.col("_found") == F.col("_wanted"), F.col("_wanted").isNull())
+        ladder = F.array(*(F.lit(float(cutoff)) for cutoff in rule.cutoffs))
+        strata = counts.select(
+            "_stratum",
+            "n",
+            "_n_pilot",
+            going.alias("_open"),
+            *(earlier.name for earlier in rules[:at]),
+            F.get(ladder, F.col("_found")).alias(rule.name),
+        )
+        strata = store(strata, "quality-strata")
+        used = used | F.coalesce(rule.rejects(F.col(rule.name)), F.lit(False))
+        claimed = claimed | F.coalesce(rule.rejects(rule.cutoffs[0]), F.lit(False))
+    return strata.select("_stratum", "n", *(rule.name for rule in rules))
 
 
 def judge(

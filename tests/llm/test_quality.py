@@ -117,3 +117,31 @@ def test_keeping_good_rows_agrees_with_judging(spark, documents):
     judged = quality.judge(docs, labels).where("kept").select("doc_id").collect()
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in judged)
     assert len(judged) == 1501
+
+
+def test_some_300_good_labels_prove_a_rule_in_each_of_four_languages(spark, documents):
+    rows, labels = [], []
+    for at, lang in enumerate(["en", "de", "fr", "es"]):
+        for i in range(10_000 * at, 10_000 * at + 310):
+            rows.append((i, plain(i), lang, "a"))
+            labels.append((i, 1))
+        for i in range(10_000 * at + 5000, 10_000 * at + 5040):
+            rows.append((i, plain(i, "***"), lang, "a"))
+            labels += [(i, 0)] * (i % 2)
+    judged = quality.judge(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int"))
+    rejected = {r["doc_id"] for r in judged.where(~F.col("kept")).collect()}
+    assert rejected == {r[0] for r in rows if r[0] % 10_000 >= 5000}
+
+
+def test_rules_spend_the_risk_together(spark, documents):
+    """Symbols and duplicate lines each reject 1.2 % of the good documents, and different ones."""
+    lines = "\n".join(f"line{k}" for k in [*range(40), *reversed(range(40))])
+    rows = [(i, plain(i, "***" if i % 80 == 0 else ""), "en", "a") for i in range(8000)]
+    rows = [(i, lines if i % 80 == 1 else text, lang, source) for i, text, lang, source in rows]
+    rows += [(9000 + i, plain(i, "***"), "en", "a") for i in range(600)]
+    rows += [(9600 + i, lines, "en", "a") for i in range(600)]
+    labels = spark.createDataFrame([(r[0], int(r[0] < 9000)) for r in rows], "doc_id long, quality int")
+    judged = quality.judge(documents(rows), labels)
+    rejected = [r["doc_id"] for r in judged.where("not kept and not base_failed").collect()]
+    assert len(rejected) >= 600
+    assert 0 < sum(i < 9000 for i in rejected) <= quality.RISK * 8000
