@@ -7,7 +7,7 @@ the other good ones prove:
 
 - Chosen is the strictest cutoff that pays: it rejects at least ``GAIN`` labelled bad documents for each good one,
   at the pilot's rate, and one at least. It must also be likely to be proven, as far as the pilot tells. Bad documents
-  that an earlier rule may claim do not count, so no rule costs good documents for what another one finds.
+  that earlier rules reject at their own cutoffs do not count, so no rule costs good documents for what another one finds.
 - Proven is what the rules so far and the new one reject together: the exact one-sided (Clopper-Pearson) upper
   bound of the false rejection rate of their union lies below ``RISK``, at an error level corrected for all strata
   (Bonferroni). If the chosen cutoff cannot be proven, the strictest laxer one that can is used, and no later rule.
@@ -190,14 +190,14 @@ def choose_cutoffs(
     def safe(wrong: Column) -> Column:
         return binomial_tail(wrong, n_proof, risk) <= level
 
-    used, claimed = F.lit(False), F.lit(False)
+    used = F.lit(False)
     for at, rule in enumerate(rules):
         counted = [F.count_if(used & good & pilot).alias("_used")]
         for i, cutoff in enumerate(rule.cutoffs):
             rejected = F.coalesce(rule.rejects(cutoff), F.lit(False))
             counted.append(F.count_if((used | rejected) & good & pilot).alias(f"_pilot_{i}"))
             counted.append(F.count_if((used | rejected) & good & ~pilot).alias(f"_proof_{i}"))
-            counted.append(F.count_if(rejected & bad & ~claimed).alias(f"_right_{i}"))
+            counted.append(F.count_if(rejected & bad & ~used).alias(f"_right_{i}"))
         known = F.broadcast(strata) if n_strata <= BROADCAST_STRATA else strata
         rows = holdout.join(known, F.col(stratum).eqNullSafe(F.col("_stratum")))
         counts = rows.groupBy(*strata.columns).agg(*counted)
@@ -226,7 +226,6 @@ def choose_cutoffs(
         )
         strata = store(strata, "quality-strata")
         used = used | F.coalesce(rule.rejects(F.col(rule.name)), F.lit(False))
-        claimed = claimed | F.coalesce(rule.rejects(rule.cutoffs[0]), F.lit(False))
     return strata.select("_stratum", "n", *(rule.name for rule in rules))
 
 

@@ -145,3 +145,14 @@ def test_rules_spend_the_risk_together(spark, documents):
     rejected = [r["doc_id"] for r in judged.where("not kept and not base_failed").collect()]
     assert len(rejected) >= 600
     assert 0 < sum(i < 9000 for i in rejected) <= quality.RISK * 8000
+
+
+def test_a_rule_that_is_not_used_claims_nothing(spark, documents):
+    """Many good documents carry symbols, so symbols prove nothing; the bad ones also repeat their lines."""
+    lines = "\n".join(f"line{k}***" for k in [*range(40), *reversed(range(40))])
+    rows = [(i, plain(i, "***" if i % 3 == 0 else ""), "en", "a") for i in range(600)]
+    rows += [(1000 + i, lines, "en", "a") for i in range(40)]
+    labels = spark.createDataFrame([(r[0], int(r[0] < 1000)) for r in rows], "doc_id long, quality int")
+    judged = quality.judge(documents(rows), labels).where("not kept").select("doc_id", "rejected_by").collect()
+    assert sorted(r["doc_id"] for r in judged) == list(range(1000, 1040))
+    assert all(r["rejected_by"] == ["duplicate_lines"] for r in judged)
