@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souklake.llm import chat, decontaminate, jaccard, language, lines, mixing, quality, secrets, shards, urls
+from souklake.llm import (
+    chat, decontaminate, jaccard, language, lines, mixing, quality, resampling, secrets, shards, trie, urls,
+)
 from souklake.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,3 +224,111 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components need iteration over links that SQL can only find by comparing pairs."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# crc32 by its table, one byte of a hexadecimal text per step: crc_table and, from rows of ``keys`` (x), ``crc`` (x, v).
+CRC_SQL = r"""
+crc_steps(byte, k, v) as (
+  select range, 0, range from range(256)
+  union all
+  select byte, k + 1, case when v & 1 = 1 then xor(3988292384, v >> 1) else v >> 1 end from crc_steps where k < 8),
+crc_table as (select byte, v from crc_steps where k = 8),
+crc_walk(x, k, c) as (
+  select distinct x, 0, 4294967295 from keys
+  union all
+  select x, crc_walk.k + 1, xor(c >> 8, v)
+  from crc_walk join crc_table on byte = xor(c & 255, cast('0x' || substr(x, 2 * crc_walk.k + 1, 2) as bigint))
+  where 2 * crc_walk.k < length(x)),
+crc as (select x, xor(c, 4294967295) as v from crc_walk where 2 * k = length(x))"""
+
+RESAMPLING_SQL = rf"""
+with recursive texts as (
+  select 0 as side, doc_id as id, text from documents union all select 1, item_id, text from benchmark),
+worded as (
+  select side, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from texts),
+runs as (
+  select side, id, unnest(w) as f from worded
+  union all
+  select side, id, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) from worded),
+counted as (select side, id, hex(encode(f)) as x, count(*) as n from runs group by all),
+keys as (select distinct x from counted),{CRC_SQL},
+found as (select side, id, v % 10000 as bucket, n from counted join crc using (x)),
+buckets as (
+  select bucket, coalesce(sum(n) filter (where side = 0), 0) as s, coalesce(sum(n) filter (where side = 1), 0) as t
+  from found group by bucket),
+totals as (select sum(s) as all_s, sum(t) as all_t from buckets),
+gains as (
+  select bucket, cast(floor(1000 * ln(((t + 1)::double * (all_s + 10000)::double)
+    / ((s + 1)::double * (all_t + 10000)::double))) as bigint) as gain from buckets, totals),
+weights as (
+  select id, sum(n) as n_features, cast(floor(sum(n * gain) / sum(n)) as bigint) as weight
+  from found join gains using (bucket) where side = 0 group by id),
+scored as (
+  select id as doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + cast(floor(-1000 * ln(-ln(
+      (cast('0x' || substr(sha256('7:' || id), 1, 8) as bigint) + 0.5::double) / 4294967296::double))) as bigint) as score
+  from worded left join weights using (id) where side = 0),
+ranked as (
+  select doc_id, row_number() over (order by score desc, doc_id) as r, count(*) over () as n
+  from scored where n_words >= 20)
+select doc_id, cast(n_features as bigint) as n_features, weight, score, case when r <= 25 * n // 100 then r end as rank
+from scored left join ranked using (doc_id)"""
+
+
+@register("op11_resampling", RESAMPLING_SQL)
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = resampling.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+TRIE_SQL = rf"""
+with recursive given as (
+  select conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+    strlen(coalesce(text, '')) as size
+  from conversations where conv_id is not null),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, id) as pos from given),
+convs as (select distinct conv_id, hex(encode(conv_id::varchar)) as x from placed),
+keys as (select x from convs),{CRC_SQL},
+heads as (select conv_id, v % 9 as h from convs join crc using (x)),
+rebuilt as (
+  select c.conv_id, p.pos, p.id, p.size from heads c join placed p on p.conv_id = c.conv_id - c.conv_id % 5
+  where p.pos <= h
+  union all
+  select c.conv_id, p.pos + 1000000, p.id, p.size from heads c join placed p using (conv_id) where p.pos > h),
+steps as (
+  select conv_id, row_number() over w as depth, string_agg(id, '') over w as prefix, size
+  from rebuilt window w as (partition by conv_id order by pos)
+  union all
+  select conv_id, 0, '', 0 from heads),
+lengths as (select conv_id, max(depth) as len from steps group by conv_id),
+nodes as (
+  select depth, prefix, min(conv_id) as conv_id, count(*) as n_convs, min(size) as size,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where len = depth), '')) as ends_sha256
+  from steps join lengths using (conv_id) group by depth, prefix),
+counted as (
+  select n.*, p.conv_id as parent_conv_id,
+    (select count(*) from nodes c where c.depth = n.depth + 1 and substr(c.prefix, 1, 64 * n.depth::int) = n.prefix)
+      as n_children
+  from nodes n left join nodes p on p.depth = n.depth - 1 and p.prefix = substr(n.prefix, 1, 64 * (n.depth::int - 1))),
+below as (
+  select distinct a.depth, a.prefix, b.depth as d, b.prefix as p
+  from steps a join steps b on a.conv_id = b.conv_id and b.depth >= a.depth),
+sums as (
+  select b.depth, b.prefix, count(*) filter (where c.n_children = 0) as n_leaves,
+    sum(case when c.depth > 0 then (c.n_convs - 1) * c.size else 0 end) as saved_tokens
+  from below b join counted c on c.depth = b.d and c.prefix = b.p group by b.depth, b.prefix)
+select conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, cast(saved_tokens as bigint) as saved_tokens,
+  ends_sha256
+from counted join sums using (depth, prefix)"""
+
+
+@register("op13_prefix_trie", TRIE_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id").cast("long")
+    given = table(spark, sf_dir, "conversations")
+    paths = trie.conversation_paths(given, family=conv - conv % 5)
+    head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    return trie.prefix_nodes(trie.share_heads(paths, F.col("family"), head, longest=8))
