@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souklake.llm import (
-    chat, decontaminate, jaccard, language, lines, mixing, quality, resampling, secrets, shards, trie, urls,
+    chat, decontaminate, jaccard, language, lines, mixing, quality, resampling, secrets, shards, toxicity, trie,
+    urls,
 )
 from souklake.session import tune
 
@@ -283,6 +284,15 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@register("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trained model has no equal in SQL."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = toxicity.train(*toxicity.draw_sample(docs, labels.where(~held_out)))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 TRIE_SQL = rf"""
 with recursive given as (
   select conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id,
