@@ -30,7 +30,7 @@ def plain(docs, target, share=(25, 100), min_words=20, buckets=10_000):
     s_all, t_all = sum(mine.values()), sum(wanted.values())
 
     def gain(b):
-        ratio = ((wanted[b] + 1.0) * (t_all + buckets)) / ((mine[b] + 1.0) * (s_all + buckets))
+        ratio = ((wanted[b] + 1.0) * (s_all + buckets)) / ((mine[b] + 1.0) * (t_all + buckets))
         return math.floor(1000 * math.log(ratio))
 
     rows = []
