@@ -86,11 +86,15 @@ def snapshot_table(
 ) -> int:
     """Run a snapshot onto a versioned table and return its version.
 
-    Open rows lie in parts by the hash of their key and closed rows in one part per month of closing. A run
-    compares keys and hashes of the checked columns, fetches and rewrites only parts in which a key changed,
-    came or went, and adds what it closes; other parts are carried over, and the closed past is neither
-    read nor written. A run that finds nothing new leaves the version as it is. A run that was overtaken by
-    another writer starts again from the newer version.
+    Open rows lie in parts by the hash of their key and closed rows in one part per month of closing. Every
+    version notes a digest per part of the rows that its run was given. A run digests its own rows, without a
+    shuffle of rows, and reads and rewrites only parts whose digest differs; other parts are carried over, and
+    the closed past is neither read nor written. Where digests are missing, or were taken over other columns or
+    with other deletes, keys and hashes of all parts are compared instead; where vanished keys stay open, those of
+    the parts that differ. ``current`` is evaluated twice and has to say the same both times.
+
+    A run that finds nothing new leaves the version as it is. A run that was overtaken by another writer starts
+    again from the newer version.
     """
     keys = key_columns(key)
 
@@ -99,30 +103,64 @@ def snapshot_table(
         names = [name for name in base["parts"] if name.startswith(f"{OPEN}-")] if base else []
         n = int(names[0].split("-")[1]) if names else max(LEAST_PARTS, plan_bytes(current) // PART_BYTES)
         bucket = tables.bucket_of(keys, n, f"{OPEN}-{n}-")
+        given = part_digests(current, [*keys, *check_cols], bucket)
+        notes = {"over": _over(current, keys, check_cols, invalidate_hard_deletes), "digests": given}
         part = F.when(F.col("valid_to").isNull(), bucket).otherwise(tables.month_of("valid_to"))
         if base is None:
             first = snapshot_check(None, current, keys, check_cols, as_of, invalidate_hard_deletes)
-            return tables.commit(spark, path, _by_part(first, part), part, base=None)
-
-        old = tables.read_table(spark, path, names, at=base).select(*keys, content_hash(check_cols).alias("_old"))
-        new = rows_by_key(current.select(*keys, *check_cols), keys, "snapshot source")
-        both = old.join(new.select(*keys, content_hash(check_cols).alias("_new")), keys, "full_outer")
-        differs = F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.col("_new"))
-        if not invalidate_hard_deletes:
-            differs = differs & F.col("_new").isNotNull()
-        # Part names only.
-        touched = sorted(row[0] for row in both.where(differs).select(bucket).distinct().collect())
+            return tables.commit(spark, path, _by_part(first, part), part, base=None, notes=notes)
+
+        last = base.get("notes") or {}
+        noted = last["digests"] if last.get("over") == notes["over"] else None
+        if noted is None:
+            touched = compared(base, bucket, sorted({*names, *given}))
+        else:
+            touched = sorted(name for name in {*noted, *given} if noted.get(name) != given.get(name))
+            if touched and not invalidate_hard_deletes:
+                touched = compared(base, bucket, touched)
         if not touched:
             return base["version"]
         opened = tables.read_table(spark, path, [name for name in touched if name in base["parts"]], at=base)
         arrived = current.where(bucket.isin(touched))
         now = next_open_and_closed(opened, arrived, keys, check_cols, as_of, invalidate_hard_deletes)
-        return tables.commit(spark, path, _by_part(now, part), part, replace=touched, base=base)
+        return tables.commit(spark, path, _by_part(now, part), part, replace=touched, base=base, notes=notes)
+
+    def compared(base: dict, bucket: Column, suspects: list[str]) -> list[str]:
+        """Those of the suspected parts in which a key came, went or changed."""
+        stored = tables.read_table(spark, path, [name for name in suspects if name in base["parts"]], at=base)
+        old = stored.select(*keys, content_hash(check_cols).alias("_old"))
+        arrived = current.where(bucket.isin(suspects)).select(*keys, *check_cols)
+        new = rows_by_key(arrived, keys, "snapshot source")
+        both = old.join(new.select(*keys, content_hash(check_cols).alias("_new")), keys, "full_outer")
+        differs = F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.col("_new"))
+        if not invalidate_hard_deletes:
+            differs = differs & F.col("_new").isNotNull()
+        # Part names only.
+        return sorted(row[0] for row in both.where(differs).select(bucket).distinct().collect())
 
     with tuned(spark, current):
         return tables.retried(attempt)
 
 
+def _over(current: DataFrame, keys: list[str], check_cols: list[str], deletes: bool) -> list:
+    """What digests were taken over: they can be compared only where this is equal."""
+    typed = [f"{c} {current.schema[c].dataType.simpleString()}" for c in [*keys, *check_cols]]
+    return [len(keys), typed, deletes]
+
+
+def part_digests(df: DataFrame, columns: list[str], part: Column) -> dict[str, str]:
+    """Per part a digest of these columns that no order of rows changes: their number, and the sums of the halves of
+    a 128-bit hash. Tasks add up their rows first, so one number per part and task is shuffled; halves keep the
+    sums of up to 2^31 rows a part within a long. The driver gets one text per part, as manifests hold."""
+    hashed = df.select(part.alias("part"), content_hash(columns).alias("h"))
+    sums = [F.count(F.lit(1))]
+    for half in ("a", "b"):
+        word = F.col(f"h.{half}")
+        sums += [F.sum(word.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(word, 32))]
+    digest = F.concat_ws(":", *(s.cast("string") for s in sums)).alias("digest")
+    return {row["part"]: row["digest"] for row in hashed.groupBy("part").agg(digest).collect()}
+
+
 def _by_part(df: DataFrame, part: Column) -> DataFrame:
     """Rows of a part together, so that each gets few files; large parts are split."""
     return df.withColumn(tables.PART, part).hint("rebalance", tables.PART).drop(tables.PART)

@@ -129,17 +129,19 @@ def land_csv_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, source(spark, sf_dir, "customers"), "customers", "csv", incremental=False)
 
 
-# Far below the number of rows at any given scale.
-SMALL_FILE_ROWS = 100
+# A file holds at most this share of the rows.
+FILE_SHARE = 8
 
 
 @register(
     "land_bounded_files",
-    f"""select count(*) as landed_rows, true as every_file_bounded, count(*) > {SMALL_FILE_ROWS} as several_files
+    f"""select count(*) as landed_rows, true as every_file_bounded, 
+      count(*) > greatest(count(*) // {FILE_SHARE}, 1) as several_files
     from src_order_payments""",
 )
 def land_bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, root, bound = source(spark, sf_dir, "order_payments"), scratch_dir(spark, "bounded"), SMALL_FILE_ROWS
+    df, root = source(spark, sf_dir, "order_payments"), scratch_dir(spark, "bounded")
+    bound = max(df.count() // FILE_SHARE, 1)
     landing.land(df, root, "db", "order_payments", None, max_records_per_file=bound)
     back = landing.read_csv(spark, landing.landing_path(root, "db", "order_payments", None), df.schema, False)
     per_file = back.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
@@ -474,6 +476,25 @@ def snap_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, path)
 
 
+@register(
+    "snapshot_one_change",
+    oracles.snapshot_second("src_orders", "orders_corrected", "order_id", ORDER_CHECKS, FIRST, SECOND),
+    {
+        "orders_corrected": """select * replace (case when order_id = (select max(order_id) from src_orders)
+          then 'corrected' else order_status end as order_status) from src_orders""",
+    },
+)
+def snapshot_one_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored history, a quiet run that reads none of it, and a run that reads the one part with a changed order."""
+    orders, snap, path = source(spark, sf_dir, "orders"), SNAPSHOTS["snap_orders"], scratch_dir(spark, "history")
+    snap.store(spark, path, orders, FIRST)
+    snap.store(spark, path, orders, "2024-01-01 12:00:00")
+    last = orders.agg(F.max("order_id")).first()[0]
+    status = F.when(F.col("order_id") == last, "corrected").otherwise(F.col("order_status"))
+    snap.store(spark, path, orders.withColumn("order_status", status), SECOND)
+    return tables.read_table(spark, path)
+
+
 @register(
     "snap_customers",
     oracles.snapshot_second(

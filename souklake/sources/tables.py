@@ -90,13 +90,15 @@ def commit(
     part: Column | None = None,
     replace: list[str] | None = None,
     base: dict | None | str = WHATEVER,
+    notes: dict | None = None,
 ) -> int:
     """Write ``df`` as the next version and publish it; returns the version number.
 
     ``replace`` names the partitions that the rows take the place of (all of them by default); rows
     of any other partition are added to it. ``base`` is the manifest that ``df`` was derived from, None if
     there was no table: where a newer version was published since, the write is refused with StaleVersion.
-    Without it the rows replace whatever is there now.
+    Without it the rows replace whatever is there now. ``notes`` are published with the version, in its manifest;
+    a write without any leaves none.
     """
     current = manifest(spark, path) if base == WHATEVER else base
     version = current["version"] + 1 if current else 1
@@ -118,7 +120,7 @@ def commit(
             if not SAFE_NAME.fullmatch(value) or value.startswith("__"):
                 raise ValueError(f"partition {value!r} is null or needs escaping")
             kept.setdefault(value, []).append(f"{folder}/{name}")
-    body = {"version": version, "schema": df.schema.jsonValue(), "parts": kept}
+    body = {"version": version, "schema": df.schema.jsonValue(), "parts": kept, "notes": notes}
     try:
         files.create_text(spark, f"{path}/{MANIFESTS}/{version:010d}.json", json.dumps(body))
     except FileExistsError as error:

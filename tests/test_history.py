@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from souklake.operators import history as history_module
 from souklake.operators.history import LEAST_PARTS, OPEN, snapshot_check, snapshot_table
 from souklake.plans.snapshots import SNAPSHOTS
 from souklake.session import scratch_dir
@@ -88,6 +89,57 @@ def test_a_run_rewrites_only_parts_with_changes(spark):
     assert tables.read_table(spark, path).where("id = 7").count() == 2
 
 
+def test_a_run_reads_only_parts_whose_digest_differs(spark, monkeypatch):
+    """One changed key of 2,000 in 64 parts: one part is opened. A quiet run opens none."""
+    monkeypatch.setattr(history_module, "LEAST_PARTS", 64)
+    path, read, opened = scratch_dir(spark, "t"), tables.read_table, []
+    before = spark.range(0, 2000).select("id", F.lit("same").alias("v"))
+    snapshot_table(spark, path, before, "id", ["v"], day(1))
+    assert len(tables.manifest(spark, path)["parts"]) == 64
+
+    def watched(*args, **kwargs):
+        df = read(*args, **kwargs)
+        opened.append({file.split("_part=")[1].split("/")[0] for file in df.inputFiles()})
+        return df
+
+    monkeypatch.setattr(tables, "read_table", watched)
+    assert snapshot_table(spark, path, before.repartition(7), "id", ["v"], day(2)) == 1 and opened == []
+    after = before.withColumn("v", F.when(F.col("id") == 7, "new").otherwise(F.col("v")))
+    assert snapshot_table(spark, path, after, "id", ["v"], day(3)) == 2
+    assert [len(parts) for parts in opened] == [1]
+    assert read(spark, path).where("id = 7 and v = 'new' and valid_to is null").count() == 1
+
+
+def test_digests_over_other_columns_or_deletes_are_not_compared(spark, frame):
+    path, schema = scratch_dir(spark, "t"), "k int, a string, b string"
+    first = frame([(1, "x", "y"), (2, "x", "y")], schema)
+    snapshot_table(spark, path, first, "k", ["a"], day(1))
+    # The same rows, more columns checked: all parts are compared, and nothing is new.
+    assert snapshot_table(spark, path, first, "k", ["a", "b"], day(2)) == 1
+    less = frame([(1, "x", "z")], schema)
+    assert snapshot_table(spark, path, less, "k", ["a", "b"], day(2), False) == 2
+    assert tables.read_table(spark, path).where("valid_to is null").count() == 2
+    # The same source again, but now vanished keys are to be closed.
+    assert snapshot_table(spark, path, less, "k", ["a", "b"], day(3)) == 3
+    assert tables.read_table(spark, path).where("valid_to is null").count() == 1
+
+
+def test_a_version_without_digests_is_compared_key_by_key(spark, frame):
+    path = scratch_dir(spark, "t")
+    snapshot_table(spark, path, frame([(1, "a"), (2, "b")], SCHEMA), "k", ["v"], day(1))
+    base = tables.manifest(spark, path)
+    names = sorted(base["parts"])
+    part = tables.bucket_of(["k"], LEAST_PARTS, f"{OPEN}-{LEAST_PARTS}-")
+    tables.commit(spark, path, tables.read_table(spark, path), part, names, base)
+    assert snapshot_table(spark, path, frame([(1, "a"), (2, "b")], SCHEMA), "k", ["v"], day(2)) == 2
+    assert snapshot_table(spark, path, frame([(1, "a"), (2, "B")], SCHEMA), "k", ["v"], day(3)) == 3
+    assert as_set(tables.read_table(spark, path)) == {
+        (1, "a", day(1), None), (2, "b", day(1), day(3)), (2, "B", day(3), None)
+    }
+    with pytest.raises(Exception, match="repeated key"):
+        snapshot_table(spark, path, frame([(1, "a"), (1, "a"), (2, "B")], SCHEMA), "k", ["v"], day(4))
+
+
 def test_changes_between_null_and_a_neighbour_column_are_seen(spark, frame):
     path, schema = scratch_dir(spark, "t"), "k int, a string, b string"
     snapshot_table(spark, path, frame([(1, None, "x")], schema), "k", ["a", "b"], day(1))
