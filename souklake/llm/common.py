@@ -45,6 +45,12 @@ def lower_ascii(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def veiled(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` under names that clash with none of an operator's own, and what each column is called there."""
+    names = {column: f"_given{i}" for i, column in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def ship(spark: SparkSession) -> None:
     """Give Python workers this library, so that tasks find it wherever they run. Once per application."""
     context = spark.sparkContext

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from souklake.llm.common import bind, lower_ascii, whole
+from souklake.llm.common import bind, lower_ascii, veiled, whole
 
 WINDOW = 13
 # A document is contaminated when at least one word in this many is hit.
@@ -180,11 +180,12 @@ def decontaminate(
     ``remove="documents"`` leaves out the contaminated documents; ``remove="spans"`` keeps all documents and
     cuts the hit words out of the texts, with the separators that follow them.
     """
-    found = find_hits(docs, benchmark, text, window=window, **columns)
+    given, name = veiled(docs)
+    found = find_hits(given, benchmark, name[text], window=window, **columns)
     if remove == "documents":
         n_hit = _covered(F.col("_hits"))
         clean = found.where(~((n_hit > 0) & (share * n_hit >= F.col("_n_words"))))
-        return clean.select(*docs.columns)
+        return clean.select(*(F.col(name[c]).alias(c) for c in docs.columns))
     if remove != "spans":
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
 
@@ -210,5 +211,5 @@ def decontaminate(
             ),
         )
 
-    cleaned = F.when(F.size("_hits") > 0, cut(F.col(text))).otherwise(F.col(text))
-    return found.withColumn(text, cleaned).select(*docs.columns)
+    cleaned = F.when(F.size("_hits") > 0, cut(F.col(name[text]))).otherwise(F.col(name[text]))
+    return found.select(*((cleaned if c == text else F.col(name[c])).alias(c) for c in docs.columns))

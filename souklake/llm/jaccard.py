@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souklake.llm.common import LOWER, UPPER, ship, store
+from souklake.llm.common import LOWER, UPPER, ship, store, veiled
 from souklake.llm.components import connected_components
 
 SHINGLE = 5
@@ -459,28 +459,55 @@ def _texts(docs: DataFrame, info: DataFrame, nodes: DataFrame, size: int) -> Dat
     return store(found, "jaccard-texts")
 
 
-def _scan(threshold: tuple[int, int], size: int, block: list[tuple[int, np.ndarray]]):
-    """Links (u, v) between the sets of a block and every text that streams by, by counting common shingles."""
+class _Forest:
+    """Which components are tied together by the links that a task has seen."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        up = self.up
+        while (above := up.get(node, node)) != node:
+            up[node] = node = up.get(above, above)
+        return node
+
+    def tie(self, a: int, b: int) -> bool:
+        """Whether this ties what was apart."""
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _scan(threshold: tuple[int, int], size: int, block: list[tuple[int, int, np.ndarray]]):
+    """Links (u, v) between the sets (node, component, shingles) of a block and every text (node, component, text)
+    that streams by, by counting common shingles. A task hands on a link only where it ties components that
+    were apart so far, so it makes fewer rows than it has met components, however many pairs are linked."""
     num, den = threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([node for node, _ in block], dtype=np.int64)
-        sizes = np.array([len(items) for _, items in block], dtype=np.int64)
-        tokens = np.concatenate([items for _, items in block])
+        forest = _Forest()
+        names = np.array([node for node, _, _ in block], dtype=np.int64)
+        groups = np.array([component for _, component, _ in block], dtype=np.int64)
+        sizes = np.array([len(items) for _, _, items in block], dtype=np.int64)
+        tokens = np.concatenate([items for _, _, items in block])
         order = np.argsort(tokens, kind="stable")
         owners, tokens = np.repeat(np.arange(len(block)), sizes)[order], tokens[order]
         for batch in batches:
             u, v = [], []
-            for node, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for node, group, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 items = shingles(body.as_py(), size)
                 first, last = np.searchsorted(tokens, items, "left"), np.searchsorted(tokens, items, "right")
                 met = last > first
                 first, count = first[met], (last - first)[met]
                 places = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
                 common = np.bincount(owners[places], minlength=len(block))
-                similar = names[(common * den >= (len(items) + sizes - common) * num) & (names != node)]
-                u += [min(node, int(other)) for other in similar]
-                v += [max(node, int(other)) for other in similar]
+                similar = np.flatnonzero((common * den >= (len(items) + sizes - common) * num) & (names != node))
+                met_groups, one_of = np.unique(groups[similar], return_index=True)
+                for other, place in zip(met_groups.tolist(), similar[one_of].tolist()):
+                    if forest.tie(group, other):
+                        u.append(min(node, int(names[place])))
+                        v.append(max(node, int(names[place])))
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     return run
@@ -488,18 +515,19 @@ def _scan(threshold: tuple[int, int], size: int, block: list[tuple[int, np.ndarr
 
 def _block_links(members: DataFrame, stragglers: DataFrame, texts: DataFrame, n: int, threshold, size: int) -> DataFrame:
     """Links of the straggling sets to all sets of open lists: block after block of the stragglers, each held by
-    the driver for one pass over the others' texts. No pair of sets is ever a row unless it is linked."""
+    the driver for one pass over the others' texts. Sets bring the component
+    they are in, and only links that tie components become rows."""
     blocks = -(-n // BLOCK_SETS)
     queries = store(
-        stragglers.join(texts, "node").select("node", "text", F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block")),
+        stragglers.join(texts, "node").select("node", "c", "text", F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block")),
         "jaccard-stragglers",
     )
-    others = store(members.select("node").distinct().join(texts, "node").select("node", "text"), "jaccard-others")
+    others = store(members.select("node", "c").distinct().join(texts, "node").select("node", "c", "text"), "jaccard-others")
     links = None
     for block in range(blocks):
-        rows = queries.where(F.col("block") == block).select("node", "text").collect()
+        rows = queries.where(F.col("block") == block).select("node", "c", "text").collect()
         if rows:
-            held = [(row["node"], shingles(row["text"], size)) for row in rows]
+            held = [(row["node"], row["c"], shingles(row["text"], size)) for row in rows]
             found = store(others.mapInArrow(_scan(threshold, size, held), "u long, v long").distinct(), "jaccard-links")
             links = found if links is None else links.union(found)
     return links
@@ -584,7 +612,7 @@ def similar_nodes(
             largest = members.groupBy("sig", "c").agg(F.count("*").alias("k")).groupBy("sig").agg(
                 F.max(F.struct("k", "c")).alias("largest")
             )
-            stragglers = members.join(largest, "sig").where(F.col("c") != F.col("largest.c")).select("node").distinct()
+            stragglers = members.join(largest, "sig").where(F.col("c") != F.col("largest.c")).select("node", "c").distinct()
             stragglers = store(stragglers, "jaccard-stragglers")
             n_open, n_stragglers = members.select("node").distinct().count(), stragglers.count()
             if total["p"] > PAIRS_PER_SCAN * n_open * -(-n_stragglers // BLOCK_SETS):
@@ -664,17 +692,21 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **sett
 
     Documents without words or without an id stay.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    rows = store(rows, "jaccard-rows")
-    answer = near_duplicates(rows, doc_id, text, **settings)
+    given, name = veiled(docs)
+    key, body = name[doc_id], name[text]
+    answer = near_duplicates(given, key, body, **settings)
     gone = answer.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = rows.join(gone.select(F.col("doc_id").alias("_gone")), F.col(doc_id) == F.col("_gone"), "left_anti")
-    has_words = F.col(text).rlike(r"[^\x20\x09-\x0D]")
-    twice = kept.where(F.col(doc_id).isNotNull() & has_words)
-    spare = (
-        twice.groupBy(F.col(doc_id).alias("_id")).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
-        .where("_n > 1")
-    )
-    marked = kept.join(spare, F.col(doc_id) == F.col("_id"), "left")
-    stays = F.col("_first").isNull() | (F.col("_row") == F.col("_first")) | ~F.coalesce(has_words, F.lit(False))
-    return marked.where(stays).select(*docs.columns)
+    kept = given.join(gone, F.col(key).cast("long") == F.col("doc_id"), "left_anti")
+    # Only rows that share their id need to be told apart; the others are never numbered or written.
+    ids = answer.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n_rows"))
+    repeated = store(ids.where("n_rows > 1").select("doc_id"), "jaccard-repeated")
+    if repeated.limit(1).count():
+        same = F.col(key).cast("long") == F.col("doc_id")
+        several = store(
+            kept.join(repeated, same, "left_semi").withColumn("_row", F.monotonically_increasing_id()), "jaccard-several"
+        )
+        has_words = F.coalesce(F.col(body).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        first = several.where(has_words).groupBy(key).agg(F.min("_row").alias("_row")).select("_row")
+        stay = several.where(has_words).join(first, "_row", "left_semi").unionByName(several.where(~has_words))
+        kept = kept.join(repeated, same, "left_anti").unionByName(stay.drop("_row"))
+    return kept.select(*(F.col(name[c]).alias(c) for c in docs.columns))

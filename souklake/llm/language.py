@@ -6,7 +6,7 @@ phrases, times the logarithm of the automaton's text length, per character, esti
 the language with the least wins.
 
 Automata are trained on whole texts of at most ``SAMPLE_ROWS`` labelled rows per language, no longer than
-``SAMPLE_TEXT`` characters each and ``SAMPLE_CHARS`` in all, divided among the languages. That bounds what the
+``SAMPLE_TEXT`` characters each and ``SAMPLE_CHARS`` codes in all, divided among the languages. That bounds what the
 driver gathers and what a task holds. Prediction covers every character of every text: texts are laid end to end,
 cut into blocks, and all blocks of a batch take their steps through all automata side by side.
 """
@@ -27,14 +27,17 @@ from souklake.llm.common import ship, whole
 SAMPLE_ROWS = 64
 SAMPLE_TEXT = 20_000
 SAMPLE_CHARS = 160_000
-# Characters that a parse may see; the rest count as unknown and end a phrase.
+# Codes that a parse may see: a blank, padding, digits, and the most frequent letters. Every other letter is spelled
+# with digits, so that none is lost.
 ALPHABET = 96
+DIGIT_BITS, DIGITS = 4, 5
 BLOCK = 256
 STEP_CHARS = 1 << 20
 UNDETERMINED = "und"
 
-_SPACE, _UNKNOWN, _PAD = 0, 1, 2
-_CODES = 3
+_SPACE, _SPELLED, _PAD = 0, 1, 2
+_DIGIT = 3
+_CODES = _DIGIT + (1 << DIGIT_BITS)
 
 
 @lru_cache(maxsize=1)
@@ -99,14 +102,14 @@ class Parser:
         streams = [np.concatenate([normalise(text) for text in texts[one]]) for one in self.languages]
         points, counts = np.unique(np.concatenate(streams), return_counts=True)
         common = points[points > 0][np.argsort(-counts[points > 0], kind="stable")][: ALPHABET - _CODES]
-        self.code = np.full(0x110000, _UNKNOWN, dtype=np.uint8)
+        self.code = np.full(0x110000, _SPELLED, dtype=np.uint8)
         self.code[0] = _SPACE
         self.code[common] = np.arange(_CODES, _CODES + len(common), dtype=np.uint8)
         width = _CODES + len(common)
         tables, self.starts, self.costs, base = [], [], [], 0
         for stream in streams:
-            codes = self.code[stream]
-            moves = suffix_automaton(codes[codes != _UNKNOWN].tolist())
+            codes = self.spell(stream)[: SAMPLE_CHARS // len(streams)]
+            moves = suffix_automaton(codes.tolist())
             table = np.full((len(moves), width), -1, dtype=np.int32)
             for state, out in enumerate(moves):
                 table[state, list(out)] = list(out.values())
@@ -121,6 +124,19 @@ class Parser:
             base += len(moves)
         self.steps = np.concatenate(tables).ravel()
 
+    def spell(self, points: np.ndarray) -> np.ndarray:
+        """The codes of normalised letters: one each, or ``DIGITS`` digits for a letter without a code of its own."""
+        codes = self.code[points]
+        rare = codes == _SPELLED
+        if not rare.any():
+            return codes
+        width = np.where(rare, DIGITS, 1)
+        spelled, at = np.repeat(codes, width), (np.cumsum(width) - width)[rare]
+        for place in range(DIGITS):
+            digit = (points[rare] >> np.uint32(DIGIT_BITS * (DIGITS - 1 - place))) & np.uint32((1 << DIGIT_BITS) - 1)
+            spelled[at + place] = _DIGIT + digit
+        return spelled
+
     def phrases(self, blocks: np.ndarray) -> np.ndarray:
         """Phrases of each block (rows) in each language (columns)."""
         state = np.tile(np.array(self.starts, dtype=np.int64), (len(blocks), 1))
@@ -133,7 +149,7 @@ class Parser:
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """The language and a score (the runner-up's distance, 0 to 1) for each text."""
-        streams = [self.code[normalise(text)] for text in texts]
+        streams = [self.spell(normalise(text)) for text in texts]
         sizes = np.array([-(-len(s) // BLOCK) for s in streams])
         blocks = np.full((int(sizes.sum()), BLOCK), _PAD, dtype=np.uint8)
         flat, at = blocks.ravel(), 0

@@ -12,7 +12,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from souklake.llm.common import count_words, store, whole
+from souklake.llm.common import count_words, store, veiled, whole
 
 HASH_BITS = 60
 LEVEL_BITS = 12
@@ -121,20 +121,20 @@ def mix(docs: DataFrame, weights=cyclic_weights, doc_id="doc_id", source="source
     one of the new names are replaced.
     """
     new = ("size", "source_size", "target", "copies")
-    plan = plan_mix(docs, weights, doc_id, source, text).withColumnsRenamed(
-        {"source": "_source", "source_size": "_source_size", "target": "_target"}
-    )
-    kept = docs.drop(*(c for c in new if c not in (doc_id, source, text)))
+    given, name = veiled(docs)
+    key, own, body = name[doc_id], name[source], name[text]
+    plan = plan_mix(given, weights, key, own, body)
+    kept = [c for c in docs.columns if c not in new or c in (doc_id, source, text)]
+    extra = (document_hash(key, own, body) < F.col("threshold")).cast("int")
     # One row per source.
     return (
-        kept.join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("_source")), "left")
-        .withColumn("_extra", (document_hash(doc_id, source, text) < F.col("threshold")).cast("int"))
+        given.join(F.broadcast(plan), F.col(own).eqNullSafe(F.col("source")), "left")
         .select(
-            *(kept[c] for c in kept.columns),
-            count_words(whole(text)).alias("size"),
-            F.col("_source_size").alias("source_size"),
-            F.col("_target").alias("target"),
-            (F.col("passes") + F.col("_extra")).alias("copies"),
+            *(F.col(name[c]).alias(c) for c in kept),
+            count_words(whole(body)).alias("size"),
+            "source_size",
+            "target",
+            (F.col("passes") + extra).alias("copies"),
         )
     )
 

@@ -42,6 +42,8 @@ GAIN = 4
 PILOT = 5
 # More strata than this are joined instead of broadcast.
 BROADCAST_STRATA = 10_000
+# Some 100 MB of ids in a task.
+BROADCAST_LABELS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -276,11 +278,13 @@ def keep_good(
     text is shuffled.
     """
     rules = settings.get("rules", RULES)
-    measured = store(
-        measure(docs.select(F.col(doc_id).alias("doc_id"), F.col(stratum).alias("stratum"), text), text).drop(text),
-        "quality-measures",
-    )
     marks = labels.select(F.col(doc_id).alias("doc_id"), "quality")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(stratum).alias("stratum"), F.col(text).alias("_text"))
+    labelled = store(marks.select("doc_id").distinct(), "quality-labelled")
+    # Only labelled documents choose cutoffs. Beyond the bound all are measured, as a join would shuffle texts.
+    if labelled.count() <= BROADCAST_LABELS:
+        rows = rows.join(F.broadcast(labelled), "doc_id", "left_semi")
+    measured = store(measure(rows, "_text").drop("_text"), "quality-measures")
     cutoffs = store(choose_cutoffs(measured, marks, "doc_id", "stratum", **settings).drop("n"), "quality-cutoffs")
     if cutoffs.count() <= BROADCAST_STRATA:
         cutoffs = F.broadcast(cutoffs)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souklake.llm.common import LOWER, UPPER, bind, store
+from souklake.llm.common import LOWER, UPPER, bind, store, veiled
 
 ALLOW, BLOCK = "allow", "block"
 # The first filter's rate of false positives; the later ones halve what is left.
@@ -153,8 +153,10 @@ def judge_urls(
     ).first()
 
     new = ("host", "path", "rule", "verdict")
-    kept = [c for c in pages.columns if c not in new or c == url]
-    named = pages.select(*kept, host_of(F.col(url)).alias("_host"), path_of(F.col(url)).alias("_path"))
+    given, name = veiled(pages)
+    kept = [c for c in pages.columns if c not in new]
+    raw = F.col(name[url])
+    named = given.select(*(name[c] for c in kept), host_of(raw).alias("_host"), path_of(raw).alias("_path"))
     keys = candidate_keys(F.col("_host"), F.col("_path"), shape["labels"], shape["lengths"])
     if not shape["labels"]:
         keys = F.array().cast("array<string>")
@@ -176,7 +178,7 @@ def judge_urls(
     ruled = named.withColumn("_rule", best)
     verdict = F.when(F.col("_rule").isNull(), default).when(in_cascade(blocking, F.col("_rule")), BLOCK)
     return ruled.select(
-        *kept if url not in new else [c for c in kept if c != url],
+        *(F.col(name[c]).alias(c) for c in kept),
         F.col("_host").alias("host"),
         F.col("_path").alias("path"),
         F.col("_rule").alias("rule"),

@@ -88,3 +88,22 @@ def test_held_out_accuracy(spark):
     held = got.where("held_out").join(truth, "doc_id").where(F.col("lang").isNotNull())
     n = held.count()
     assert n > 20 and held.where("lang = lang_pred").count() >= 0.95 * n
+
+
+def test_seven_scripts_with_far_more_letters_than_codes(spark):
+    """No letter is dropped, however many there are: every language is told from the others."""
+    letters = {
+        "zh": range(0x4E00, 0x5600), "ko": range(0xAC00, 0xB400), "am": range(0x1200, 0x1248), "ru": range(0x430, 0x450),
+        "el": range(0x3B1, 0x3CA), "he": range(0x5D0, 0x5EB), "en": range(0x61, 0x7B),
+    }
+    rng = np.random.default_rng(3)
+
+    def text(own):
+        return " ".join("".join(chr(c) for c in rng.choice(own, rng.integers(1, 7))) for _ in range(60))
+
+    sample = {lang: [text(np.array(own)) for _ in range(20)] for lang, own in letters.items()}
+    rows = [(i, text(np.array(own)), lang) for lang, own in letters.items() for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.predict(docs.select(F.col("lang").alias("doc_id"), "text"), sample).collect()
+    for lang in letters:
+        assert np.mean([r["lang_pred"] == lang for r in found if r["doc_id"] == lang]) >= 0.95, lang
