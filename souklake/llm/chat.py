@@ -56,6 +56,37 @@ def messages_as_log(rows: DataFrame) -> DataFrame:
     )
 
 
+def replayed_log(rows: DataFrame) -> DataFrame:
+    """Finished rows (conv_id, turn, role, text) as the log of a chat in which every message took some detours.
+
+    The first attempt at a message breaks off half-way, a follow-up is drafted all the same, an edit throws that
+    away, and a regeneration streams the text in three pieces. Folding it gives the rows back; a null text is
+    empty, and the order is that of ``messages_as_log``.
+    """
+    done = messages_as_log(rows).withColumn("text", F.coalesce("text", F.lit("")))
+    n, at = F.char_length("text"), F.col("message")
+    third = F.floor(n / 3).cast("int")
+
+    def piece(start: Column | int, length: Column) -> Column:
+        return F.substr(F.col("text"), F.lit(start) if isinstance(start, int) else start, length)
+
+    def event(kind: str, message: Column, role: Column, text: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), message.alias("message"), role.cast("string").alias("role"), text.alias("text")
+        )
+
+    events = F.array(
+        event(MESSAGE, at, F.col("role"), piece(1, F.floor(n / 2).cast("int"))),
+        event(MESSAGE, at + 1, F.lit("draft"), piece(1, F.lit(8))),
+        event(EDIT, at, F.lit(None), F.reverse(piece(1, F.lit(8)))),
+        event(REGENERATE, at, F.col("role"), piece(1, third)),
+        event(DELTA, at, F.lit(None), piece(third + 1, third)),
+        event(DELTA, at, F.lit(None), piece(2 * third + 1, n)),
+    )
+    told = done.select("conv_id", F.col("seq").alias("_turn"), F.posexplode(events).alias("_step", "_event"))
+    return told.select("conv_id", (F.col("_turn") * 8 + F.col("_step")).alias("seq"), "_event.*")
+
+
 def fold(log: DataFrame) -> DataFrame:
     """conv_id, message, role, text of the messages that a log ends with.
 

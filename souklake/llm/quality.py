@@ -59,6 +59,11 @@ class Rule:
         measure = F.expr(self.measure)
         return measure > cutoff if self.above else measure < cutoff
 
+    def rung(self) -> Column:
+        """How many cutoffs reject a text; as the ladder goes from strict to lax, the first ones do."""
+        ladder = F.array(*(F.lit(float(cutoff)) for cutoff in self.cutoffs))
+        return F.size(F.filter(ladder, lambda cutoff: F.coalesce(self.rejects(cutoff), F.lit(False))))
+
 
 RULES = (
     Rule("symbols", "try_divide(100 * n_symbols, n_words)", (1, 2, 5, 10, 20, 40, 80)),
@@ -178,11 +183,23 @@ def choose_cutoffs(
 ) -> DataFrame:
     """One row per stratum: its number of labelled good documents, and the chosen cutoff of each rule or null."""
     marks = labels.groupBy(doc_id).agg(F.min("quality").alias("_quality"))
-    good, bad, pilot = F.col("_quality") == 1, F.col("_quality") == 0, F.col("_pilot")
     holdout = measured.where(~base_failed()).join(marks, doc_id)
-    holdout = store(holdout.withColumn("_pilot", F.pmod(F.xxhash64(doc_id), F.lit(PILOT)) == 0), "quality-holdout")
-    strata = holdout.groupBy(F.col(stratum).alias("_stratum")).agg(
-        F.count_if(good).alias("n"), F.count_if(good & pilot).alias("_n_pilot"), F.lit(True).alias("_open")
+    rungs = [f"_rung_{rule.name}" for rule in rules]
+    # All that the choice needs: how many documents of a stratum stand on which rungs of the ladders.
+    cells = holdout.groupBy(
+        F.col(stratum).alias("_stratum"),
+        "_quality",
+        (F.pmod(F.xxhash64(doc_id), F.lit(PILOT)) == 0).alias("_pilot"),
+        *(rule.rung().alias(rung) for rule, rung in zip(rules, rungs)),
+    ).agg(F.count(F.lit(1)).alias("_docs"))
+    cells = store(cells, "quality-cells")
+    good, bad, pilot = F.col("_quality") == 1, F.col("_quality") == 0, F.col("_pilot")
+
+    def number(of: Column) -> Column:
+        return F.sum(F.when(of, F.col("_docs")).otherwise(F.lit(0).cast("long")))
+
+    strata = cells.groupBy("_stratum").agg(
+        number(good).alias("n"), number(good & pilot).alias("_n_pilot"), F.lit(True).alias("_open")
     )
     strata = store(strata, "quality-strata")
     n_strata = strata.count()
@@ -193,15 +210,15 @@ def choose_cutoffs(
         return binomial_tail(wrong, n_proof, risk) <= level
 
     used = F.lit(False)
-    for at, rule in enumerate(rules):
-        counted = [F.count_if(used & good & pilot).alias("_used")]
-        for i, cutoff in enumerate(rule.cutoffs):
-            rejected = F.coalesce(rule.rejects(cutoff), F.lit(False))
-            counted.append(F.count_if((used | rejected) & good & pilot).alias(f"_pilot_{i}"))
-            counted.append(F.count_if((used | rejected) & good & ~pilot).alias(f"_proof_{i}"))
-            counted.append(F.count_if(rejected & bad & ~used).alias(f"_right_{i}"))
-        known = F.broadcast(strata) if n_strata <= BROADCAST_STRATA else strata
-        rows = holdout.join(known, F.col(stratum).eqNullSafe(F.col("_stratum")))
+    for at, (rule, rung) in enumerate(zip(rules, rungs)):
+        counted = [number(used & good & pilot).alias("_used")]
+        for i in range(len(rule.cutoffs)):
+            rejected = F.col(rung) > i
+            counted.append(number((used | rejected) & good & pilot).alias(f"_pilot_{i}"))
+            counted.append(number((used | rejected) & good & ~pilot).alias(f"_proof_{i}"))
+            counted.append(number(rejected & bad & ~used).alias(f"_right_{i}"))
+        known = (F.broadcast(strata) if n_strata <= BROADCAST_STRATA else strata).withColumnRenamed("_stratum", "_own")
+        rows = cells.join(known, F.col("_stratum").eqNullSafe(F.col("_own"))).drop("_own")
         counts = rows.groupBy(*strata.columns).agg(*counted)
         pays, likely, proven = [], [], []
         for i in range(len(rule.cutoffs)):
@@ -217,18 +234,19 @@ def choose_cutoffs(
         )
         counts = counts.withColumn("_found", found)
         going = F.col("_open") & F.coalesce(F.col("_found") == F.col("_wanted"), F.col("_wanted").isNull())
-        ladder = F.array(*(F.lit(float(cutoff)) for cutoff in rule.cutoffs))
         strata = counts.select(
             "_stratum",
             "n",
             "_n_pilot",
             going.alias("_open"),
             *(earlier.name for earlier in rules[:at]),
-            F.get(ladder, F.col("_found")).alias(rule.name),
+            F.col("_found").alias(rule.name),
         )
         strata = store(strata, "quality-strata")
-        used = used | F.coalesce(rule.rejects(F.col(rule.name)), F.lit(False))
-    return strata.select("_stratum", "n", *(rule.name for rule in rules))
+        used = used | F.coalesce(F.col(rung) > F.col(rule.name), F.lit(False))
+    ladders = (F.array(*(F.lit(float(cutoff)) for cutoff in rule.cutoffs)) for rule in rules)
+    chosen = (F.get(ladder, F.col(rule.name)).alias(rule.name) for ladder, rule in zip(ladders, rules))
+    return strata.select("_stratum", "n", *chosen)
 
 
 def judge(

@@ -148,8 +148,10 @@ from escaped group by conv_id"""
 @register("op4_chat_format", CHAT_SQL)
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], given.schema)
-    formatted = chat.format_log(chat.messages_as_log(given.union(extra)))
+    who = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    added = (F.lit(-1), F.col("id"), who, F.lit(CONTROL_TEXT))
+    extra = spark.range(2).select(*(value.cast(f.dataType).alias(f.name) for value, f in zip(added, given.schema)))
+    formatted = chat.format_log(chat.replayed_log(given.union(extra)))
     turns = chat.read_back(formatted)
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     trained = F.array_compact(F.transform("turns", lambda t: t["trained"]))

@@ -98,6 +98,21 @@ def test_round_trip_through_the_template(spark):
         assert all(chat.START not in c and chat.END not in c for c in cut)
 
 
+def test_a_chat_with_detours_ends_as_plain_messages_do(spark):
+    rng = random.Random(10)
+    rows = [(c, t, rng.choice(ROLES), rng.choice([*TRICKY, "abcdefghij" * 3])) for c in range(30) for t in range(rng.randrange(1, 6))]
+    rows += [(50, None, "user", "no turn"), (50, 1, "user", "twice"), (50, 1, "user", "twice"), (None, 0, None, None)]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = chat.replayed_log(given)
+    assert {r["kind"] for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    plain, replayed = (
+        sorted(((r["conv_id"] is None, r["conv_id"]), r["message"], r["role"], r["text"]) for r in chat.fold(one).collect())
+        for one in (chat.messages_as_log(given), log)
+    )
+    assert replayed == plain and len(plain) == len(rows)
+    assert chat.replayed_log(given.limit(0)).count() == 0
+
+
 def test_an_empty_log_has_no_conversations(spark):
     assert chat.format_log(spark.createDataFrame([], LOG)).count() == 0
 
