@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from souklake.operators import key_index
 from souklake.operators.joins import fits_broadcast
 from souklake.operators.keys import content_hash, key_columns, rows_by_key
 from souklake.session import tuned
@@ -62,6 +63,7 @@ def upsert_table(
     part: Column | None = None,
     dedupe_by: str | None = None,
     batch_rows: int | None = None,
+    indexed: bool = False,
 ) -> int:
     """Upsert onto a versioned table and return its new version; 0 when the batch is empty.
 
@@ -73,28 +75,38 @@ def upsert_table(
     instead of a rewrite of the whole table, and a batch that repeats what is there writes nothing and keeps
     the version. The expression must need no column that the batch lacks. A writer that was overtaken by
     another one starts again from the newer version.
+
+    With ``indexed`` there is no scan of the table either: an index of the keys, kept beside a partitioned table,
+    names the partitions that may hold keys of the batch, and only those are opened. Use it where keys say
+    nothing of the partition, such as months. It is built at first use; a batch whose keys have other types than
+    the stored ones does without, and so do upserts that do not ask for it, after which it is built anew.
     """
     keys = key_columns(keys)
+    if indexed and part is None:
+        raise ValueError("an index names partitions, and the table has none")
     if batch_rows is None:
         batch_rows = batch.count()
     if batch_rows == 0:
         return 0
     with tuned(spark, batch):
-        return tables.retried(lambda: _upsert_once(spark, path, batch, keys, part, dedupe_by, batch_rows))
+        return tables.retried(lambda: _upsert_once(spark, path, batch, keys, part, dedupe_by, batch_rows, indexed))
 
 
 def _upsert_once(
     spark: SparkSession, path: str, batch: DataFrame, keys: list[str], part: Column | None, dedupe_by: str | None,
-    batch_rows: int,
+    batch_rows: int, indexed: bool,
 ) -> int:
     rows = rows_by_key(batch, keys, "upsert batch", dedupe_by)
     base = tables.manifest(spark, path)
     if base is None:
         return tables.commit(spark, path, _by_part(rows, part), part, base=None)
     small = fits_broadcast(batch_rows, rows.select(*keys))
-    touched = None
+    touched = index = None
     if part is not None:
         stored = tables.read_table(spark, path, keep_part=True, at=base)
+        if indexed and all(batch.schema[k].dataType == stored.schema[k].dataType for k in keys):
+            homes, index = key_index.parts_of(spark, path, keys, key_index.hashed_keys(batch, keys), base)
+            stored = tables.read_table(spark, path, homes, keep_part=True, at=base)
         told = [c for c in rows.columns if c not in keys]
         known = stored.select(*keys, F.col(tables.PART).alias("_was"), content_hash(told).alias("_old"))
         arriving = rows.select(*keys, part.alias("_goes"), content_hash(told).alias("_new"))
@@ -120,4 +132,8 @@ def _upsert_once(
         merged = _merge(target, F.broadcast(rows), keys, _by_part(rows, part))
     else:
         merged = _by_part(_merge(target, rows, keys, rows), part)
-    return tables.commit(spark, path, merged, part, replace=touched, base=base)
+    version = tables.commit(spark, path, merged, part, replace=touched, base=base)
+    if index is not None:
+        came = moved.where(F.col("_was").isNull() | (F.col("_was") != F.col("_goes")))
+        key_index.follow(spark, path, keys, key_index.hashed_keys(came, keys), index, touched)
+    return version

@@ -27,7 +27,7 @@ class TableSpec:
     by the run date). ``month_of`` names the timestamp whose month partitions the staging table; a table without
     one may have ``parts`` by the hash of its key. ``free_text`` says that CSV values may hold line breaks,
     which keeps a file in one task. The watermark of an ``api`` source, which is pulled whole, is used only
-    on request.
+    on request. ``indexed`` finds the staged rows of a batch by an index of the keys.
     """
 
     name: str
@@ -38,6 +38,7 @@ class TableSpec:
     parts: int = 0
     free_text: bool = False
     landed_as: str | None = None
+    indexed: bool = False
 
     @property
     def fmt(self) -> str:
@@ -112,7 +113,8 @@ def load_landed(
     batch = spark.read.schema(batch.schema).parquet(parsed)
     try:
         return upsert_table(
-            spark, staging_path(root, spec.name), batch, list(spec.keys), spec.part, batch_rows=batch_rows
+            spark, staging_path(root, spec.name), batch, list(spec.keys), spec.part, batch_rows=batch_rows,
+            indexed=spec.indexed,
         )
     finally:
         files.delete(spark, parsed)

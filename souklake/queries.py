@@ -282,6 +282,17 @@ def upsert_versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, path)
 
 
+@register("upsert_indexed_table", *UPSERTED_ORDERS)
+def upsert_indexed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by an index of the keys; the batch comes twice, and the second time nothing is to be done."""
+    target, batch = _order_states(spark, sf_dir)
+    path, part = scratch_dir(spark, "upsert"), tables.month_of("order_purchase_timestamp")
+    upsert_table(spark, path, target, "order_id", part)
+    for _ in range(2):
+        upsert_table(spark, path, batch, "order_id", part, indexed=True)
+    return tables.read_table(spark, path)
+
+
 @register(
     "upsert_composite_key",
     oracles.upserted("pending_payments", "settled_payments", "order_id", "payment_sequential"),
