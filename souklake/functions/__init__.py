@@ -10,8 +10,10 @@ from souklake.functions.columns import (
     hours_between,
     initcap_words,
     lowered,
+    packed_key,
     parse_flag,
     surrogate_key,
+    unpacked_key,
     uppered,
 )
 
@@ -25,7 +27,9 @@ __all__ = [
     "hours_between",
     "initcap_words",
     "lowered",
+    "packed_key",
     "parse_flag",
     "surrogate_key",
+    "unpacked_key",
     "uppered",
 ]

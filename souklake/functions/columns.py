@@ -26,6 +26,17 @@ def surrogate_key(*parts: Column | str) -> Column:
     return F.md5(F.concat_ws("-", *texts))
 
 
+def packed_key(c: Column | str) -> tuple[Column, Column]:
+    """Text in two columns that need half the room where it is a surrogate key: its 16 bytes, or else the text."""
+    is_key = (F.length(_col(c)) == 32) & _col(c).rlike("^[0-9a-f]{32}$")
+    return F.when(is_key, F.unhex(_col(c))), F.when(~is_key, _col(c))
+
+
+def unpacked_key(packed: Column | str, rest: Column | str) -> Column:
+    """The text that ``packed_key`` was given."""
+    return F.coalesce(F.lower(F.hex(_col(packed))), _col(rest))
+
+
 def lowered(c: Column | str) -> Column:
     return F.lower(F.trim(_col(c)))
 

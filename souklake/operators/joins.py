@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from souklake.functions import surrogate_key
@@ -17,12 +17,14 @@ LONG_NAMES = re.compile("text|message|comment|title|description|body|html|json|p
 BROADCAST_BYTES = 192 * 1024**2
 # What a row of a hash table costs besides its values, and what values of no fixed size may take.
 ROW_OVERHEAD, SHORT_TEXT, LONG_TEXT = 48, 40, 4096
-# Columnar files unfold to some so many times their size in memory.
-EXPANSION = 4
+# Columnar files, compressed as versioned tables are, unfold to some so many times their size in memory.
+EXPANSION = 8
 
 # A key with more rows than this on the many side is spread over SALTS tasks.
 HOT_KEY_ROWS = 1_000_000
 SALTS = 256
+# Counts of this many buckets of keys tell where a hot key can be at all.
+HOT_BUCKETS = 65_536
 
 
 def row_bytes(df: DataFrame) -> int:
@@ -97,6 +99,21 @@ def lookup_key(facts: DataFrame, dimension: DataFrame, on: str, key: str) -> Dat
     return found.withColumn(key, F.when(F.col("_hit"), surrogate_key(on))).drop("_hit")
 
 
+def keep_known(facts: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
+    """The facts with ``on`` set to null where the dimension lacks it.
+
+    For facts that are shuffled further: the short id travels, and ``known_key`` makes the key of it afterwards.
+    Rows that the dimension repeats repeat the fact, as in any left join.
+    """
+    found = lookup(facts, dimension.select(on, F.lit(True).alias("_hit")), on, "_hit")
+    return found.withColumn(on, F.when(F.col("_hit"), F.col(on))).drop("_hit")
+
+
+def known_key(on: str) -> Column:
+    """The surrogate key of an id that ``keep_known`` has left, null for a miss."""
+    return F.when(F.col(on).isNotNull(), surrogate_key(on))
+
+
 def freshly_exchanged(df: DataFrame, key: str) -> DataFrame:
     """The same rows with a text key that no earlier partitioning is known for.
 
@@ -106,6 +123,17 @@ def freshly_exchanged(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, F.concat(F.col(key), F.lit("")))
 
 
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, one row each; at most (all rows / hot_rows) of them.
+
+    A hot key makes its whole bucket hot, so only the keys of hot buckets are counted one by one.
+    """
+    bucketed = df.select(key, F.pmod(F.xxhash64(key), F.lit(HOT_BUCKETS)).alias("_bucket"))
+    hot_buckets = bucketed.groupBy("_bucket").count().where(F.col("count") > hot_rows).select("_bucket")
+    suspects = bucketed.join(F.broadcast(hot_buckets), "_bucket", "left_semi")
+    return suspects.groupBy(key).count().where(F.col("count") > hot_rows).select(key)
+
+
 def join_hot_keys(
     many: DataFrame, one: DataFrame, on: str, hot_rows: int = HOT_KEY_ROWS, salts: int = SALTS
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Joins are ordered for volume and skew: key lookups run at the coarsest grain that has the key (a
 customer is looked up once per order, not once per item), narrow rows are shuffled before wide ones,
-and surrogate keys of the fact itself are computed after the last shuffle.
+and all surrogate keys of a fact are computed after its last shuffle: until then the short ids travel.
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souklake.functions import days_between, default_to, flag, hours_between, surrogate_key
-from souklake.operators.joins import freshly_exchanged, lookup, lookup_key
+from souklake.functions import days_between, default_to, flag, hours_between, packed_key, surrogate_key, unpacked_key
+from souklake.operators.joins import freshly_exchanged, keep_known, known_key, lookup
 
 # Fixed values of the business rules.
 SATISFIED_FROM = 4
@@ -19,9 +19,8 @@ VOUCHER = "voucher"
 
 
 def order_context(orders: DataFrame, dim_customers: DataFrame, *columns: str) -> DataFrame:
-    """Orders with their customer key, and only the named order columns."""
-    narrow = orders.select("order_id", "customer_id", *columns)
-    return lookup_key(narrow, dim_customers, "customer_id", "customer_key").drop("customer_id")
+    """Orders with the id of their customer, null for an unknown one, and only the named order columns."""
+    return keep_known(orders.select("order_id", "customer_id", *columns), dim_customers, "customer_id")
 
 
 def fact_sales(
@@ -40,16 +39,15 @@ def fact_sales(
         "order_delivered_customer_at",
         "order_estimated_delivery_at",
     )
-    items = lookup_key(order_items, dim_products, "product_id", "product_key")
-    items = lookup_key(items, dim_sellers, "seller_id", "seller_key")
+    items = keep_known(keep_known(order_items, dim_products, "product_id"), dim_sellers, "seller_id")
     delivered, estimated = F.col("order_delivered_customer_at"), F.col("order_estimated_delivery_at")
     return items.join(order_context(orders, dim_customers, *order_columns), "order_id").select(
         surrogate_key("order_id", "order_item_id").alias("sales_item_key"),
         "order_id",
         "order_item_id",
-        "customer_key",
-        "product_key",
-        "seller_key",
+        known_key("customer_id").alias("customer_key"),
+        known_key("product_id").alias("product_key"),
+        known_key("seller_id").alias("seller_key"),
         *order_columns,
         "shipping_limit_at",
         "price",
@@ -69,7 +67,7 @@ def fact_payments(order_payments: DataFrame, orders: DataFrame, dim_customers: D
         surrogate_key("order_id", "payment_sequential").alias("payment_key"),
         "order_id",
         "payment_sequential",
-        "customer_key",
+        known_key("customer_id").alias("customer_key"),
         "payment_type",
         "order_status",
         "order_purchase_at",
@@ -105,15 +103,14 @@ def fact_reviews(
     summary = order_items_summary(order_items).drop("total_items_in_order")
     context = order_context(orders.join(summary, "order_id", "left"), dim_customers,
                             "order_purchase_at", "product_id", "seller_id")
-    context = lookup_key(context, dim_products, "product_id", "product_key").drop("product_id")
-    context = lookup_key(context, dim_sellers, "seller_id", "seller_key").drop("seller_id")
+    context = keep_known(keep_known(context, dim_products, "product_id"), dim_sellers, "seller_id")
     return order_reviews.join(freshly_exchanged(context, "order_id"), "order_id").select(
         surrogate_key("review_id", "order_id").alias("review_key"),
         "review_id",
         "order_id",
-        "customer_key",
-        "product_key",
-        "seller_key",
+        known_key("customer_id").alias("customer_key"),
+        known_key("product_id").alias("product_key"),
+        known_key("seller_id").alias("seller_key"),
         "review_score",
         "review_comment_title",
         "review_comment_message",
@@ -130,16 +127,23 @@ def seller_performance(sales: DataFrame) -> DataFrame:
     """Per seller key (null included): first sale, distinct orders, revenue.
 
     Orders are made distinct per (seller, order) before the seller totals, so a seller with a third
-    of all sales is still spread over its orders.
+    of all sales is still spread over its orders. Keys travel packed.
     """
-    per_order = sales.groupBy("seller_key", "order_id").agg(
+    packed, rest = packed_key("seller_key")
+    per_order = sales.groupBy(packed.alias("_packed"), rest.alias("_rest"), "order_id").agg(
         F.min("order_purchase_at").alias("first_sale_at"), F.sum("price").alias("revenue")
     )
-    return per_order.groupBy("seller_key").agg(
+    totals = per_order.groupBy("_packed", "_rest").agg(
         F.min("first_sale_at").alias("first_sale_at"),
         F.count("order_id").alias("total_orders_completed"),
         F.sum("revenue").cast("decimal(20,2)").alias("total_gross_revenue"),
     )
+    return totals.select(
+        unpacked_key("_packed", "_rest").alias("seller_key"),
+        "first_sale_at",
+        "total_orders_completed",
+        "total_gross_revenue",
+    )
 
 
 def fact_marketing_funnel(

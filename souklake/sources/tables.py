@@ -32,6 +32,9 @@ WHOLE = "all"
 MANIFESTS = "_manifests"
 # A write that is based on no version.
 WHATEVER = "whatever"
+# Surrogate keys are hex digits, which only an entropy coder halves, and which repeat too far apart for a small
+# dictionary.
+WRITE_OPTIONS = {"compression": "zstd", "parquet.dictionary.page.size": str(32 * 1024**2)}
 
 
 class StaleVersion(Exception):
@@ -107,9 +110,9 @@ def commit(
         raise ValueError(f"column names {sorted(taken)} are reserved")
     folder = f"{VERSION}={version}-{spark._jvm.java.util.UUID.randomUUID().toString()[:8]}"
     if part is None:
-        df.write.parquet(f"{path}/{folder}/{PART}={WHOLE}")
+        df.write.options(**WRITE_OPTIONS).parquet(f"{path}/{folder}/{PART}={WHOLE}")
     else:
-        df.withColumn(PART, part).write.partitionBy(PART).parquet(f"{path}/{folder}")
+        df.withColumn(PART, part).write.options(**WRITE_OPTIONS).partitionBy(PART).parquet(f"{path}/{folder}")
 
     kept: dict[str, list[str]] = {}
     if current is not None and replace is not None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from souklake.operators.joins import hot_keys
 from souklake.session import scratch_dir
 
 # Orders with more items than this are numbered in slices instead of in one task.
@@ -124,8 +125,7 @@ def number_within(df: DataFrame, group: str, order: tuple[str, ...], out: str, h
         return df.withColumn(out, plain)
 
     spark = df.sparkSession
-    # At most (all rows / hot_rows) groups can be hot.
-    hot = F.broadcast(df.groupBy(group).count().where(F.col("count") > hot_rows).select(group))
+    hot = F.broadcast(hot_keys(df, group, hot_rows))
     if hot.isEmpty():
         return df.withColumn(out, plain)
 
@@ -155,12 +155,14 @@ def number_within(df: DataFrame, group: str, order: tuple[str, ...], out: str, h
 
 
 def order_items(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ORDER_ROWS) -> DataFrame:
+    # Numbered by the id as others see it, so that whoever needs the items by order finds them together.
     lines = given(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_tax"
+        _text("l_orderkey").alias("order_id"),
+        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_tax",
     )
     price = F.col("l_extendedprice").cast("decimal(12,2)")
-    return number_within(lines, "l_orderkey", ITEM_ORDER, "order_item_id", hot_rows).select(
-        _text("l_orderkey").alias("order_id"),
+    return number_within(lines, "order_id", ITEM_ORDER, "order_item_id", hot_rows).select(
+        "order_id",
         "order_item_id",
         _text("l_partkey").alias("product_id"),
         _text("l_suppkey").alias("seller_id"),

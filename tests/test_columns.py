@@ -106,3 +106,15 @@ def test_surrogate_keys_tell_nulls_apart(spark):
     assert one(spark, surrogate_key(F.lit(12), null)) == ("1bf0c29f236f82ed58aac08c7945ba3a",)
     a, b = one(spark, surrogate_key(F.lit("a"), null), surrogate_key(F.lit("a")))
     assert a != b
+
+
+def test_packed_keys_come_back_and_stay_apart(frame):
+    from souklake.functions import packed_key, unpacked_key
+
+    key = "0123456789abcdef" * 2
+    texts = [key, key.upper(), key[:31] + "g", key[:31], key + "\n", key[:31] + "\n", key * 2, "0" * 16, "", "é" * 32, None]
+    packed, rest = packed_key("t")
+    got = frame([(t,) for t in texts], "t string").select("t", packed.alias("p"), rest.alias("r"))
+    assert [(row.t, bytes(row.p)) for row in got.where("p is not null").collect()] == [(key, bytes.fromhex(key))]
+    assert got.where("p is not null and r is not null").isEmpty() and got.where("t is null and r is null").count() == 1
+    assert got.where(~unpacked_key("p", "r").eqNullSafe(F.col("t"))).isEmpty()

@@ -153,3 +153,36 @@ def test_tables_with_the_same_buckets_join_without_a_shuffle(spark):
 def test_logical_source_names():
     assert cleaning.physical_name("product_category_name") == "product_category_name_translation"
     assert cleaning.physical_name("orders") == "orders"
+
+
+def test_no_surrogate_key_is_shuffled_on_its_way_into_a_fact(spark):
+    """Each is 32 characters that do not compress; the ids they are made of travel instead."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = Warehouse(SourceTables(spark, SF_DIR))
+        for name in ("fact_sales", "fact_payments", "fact_reviews"):
+            plan = w[name]._jdf.queryExecution().executedPlan().toString()
+            assert 0 < plan.rindex("md5(") < plan.index("Exchange hashpartitioning"), name
+        performance = facts.seller_performance(w["fact_sales"])._jdf.queryExecution().executedPlan().toString()
+        assert "unhex(" in performance[performance.index("Exchange hashpartitioning"):]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stored_tables_are_entropy_coded(spark, tmp_path):
+    from souklake.plans.warehouse import materialize
+
+    materialize(spark.range(10), "t", "table", "s", root=str(tmp_path))
+    found = [p.name for p in tmp_path.rglob("part-*.parquet")]
+    assert found and all(name.endswith(".zstd.parquet") for name in found)
+
+
+def test_items_are_numbered_and_joined_in_one_shuffle(spark):
+    """From the numbering to the join with their orders; a stored source is shuffled for the join alone."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = Warehouse(SourceTables(spark, SF_DIR))
+        joined = w["stg_order_items"].join(w["stg_orders"], "order_id")
+        assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -201,3 +201,14 @@ def test_settings_come_back_after_a_write(spark):
             assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 4
         assert spark.conf.get("spark.sql.ansi.enabled") == "false"
         assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_hot_keys_are_counted_in_hot_buckets_only(spark, monkeypatch):
+    df = skewed(spark, 3_000).select("key")
+    for buckets in (1, 7, 65_536):
+        monkeypatch.setattr(joins, "HOT_BUCKETS", buckets)
+        assert rows(joins.hot_keys(df, "key", 50)) == [("0",)]
+        assert joins.hot_keys(df, "key", 3_000).isEmpty()
+    # A bucket of many small keys is no hot key.
+    monkeypatch.setattr(joins, "HOT_BUCKETS", 1)
+    assert joins.hot_keys(spark.range(1_000).select(F.col("id").cast("string").alias("key")), "key", 50).isEmpty()
