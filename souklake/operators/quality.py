@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from souklake.functions import packed_key
+
 
 def _names(columns: str | list[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
@@ -45,20 +47,19 @@ class TestSpec:
     parent_column: str | None = None
 
 
-def _tested_values(df: DataFrame, table: str, specs: list[TestSpec]) -> DataFrame:
-    """One (table, column, value) row per row and tested column of one table.
+def _tested_values(df: DataFrame, specs: list[TestSpec], slots: Mapping[tuple[str, str], int]) -> DataFrame:
+    """One (slot, packed, rest) row per row and tested column of one table: the column's number, and its value packed.
 
     A column that is only tested for nulls contributes a constant instead of its values.
     """
     unique = {s.column for s in specs if s.test == "unique"}
-    pairs = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            (F.col(c).cast("string") if c in unique else F.when(F.col(c).isNotNull(), "")).alias("value"),
-        )
-        for c in dict.fromkeys(s.column for s in specs)
-    ]
-    return df.select(F.lit(table).alias("table_name"), F.inline(F.array(*pairs)))
+    triples = []
+    for table, column in dict.fromkeys((s.table, s.column) for s in specs):
+        packed, rest = F.lit(None).cast("binary"), F.when(F.col(column).isNotNull(), "")
+        if column in unique:
+            packed, rest = packed_key(F.col(column).cast("string"))
+        triples.append(F.struct(F.lit(slots[table, column]).alias("slot"), packed.alias("packed"), rest.alias("rest")))
+    return df.select(F.inline(F.array(*triples)))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -101,18 +102,20 @@ def run_suite(tables: Mapping[str, DataFrame], specs: list[TestSpec]) -> DataFra
 
 def _column_tests(tables: Mapping[str, DataFrame], specs: list[TestSpec]) -> DataFrame:
     names = list(dict.fromkeys(s.table for s in specs))
-    values = _union([_tested_values(tables[name], name, [s for s in specs if s.table == name]) for name in names])
-    counted = values.groupBy("table_name", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    missing = F.col("value").isNull()
-    totals = counted.groupBy("table_name", "column_name").agg(
+    slots = {pair: i for i, pair in enumerate(dict.fromkeys((s.table, s.column) for s in specs))}
+    values = _union([_tested_values(tables[name], [s for s in specs if s.table == name], slots) for name in names])
+    counted = values.groupBy("slot", "packed", "rest").agg(F.count(F.lit(1)).alias("n"))
+    missing = F.col("packed").isNull() & F.col("rest").isNull()
+    totals = counted.groupBy("slot").agg(
         F.sum(F.when(~missing & (F.col("n") > 1), 1).otherwise(0)).alias("unique"),
         F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("not_null"),
     )
     declared = totals.sparkSession.createDataFrame(
-        [(s.table, s.column, s.test) for s in specs], "table_name string, column_name string, test string"
+        [(slots[s.table, s.column], s.table, s.column, s.test) for s in specs],
+        "slot int, table_name string, column_name string, test string",
     )
     # The totals hold one row per tested column.
     found = F.when(F.col("test") == "unique", F.col("unique")).otherwise(F.col("not_null"))
-    return declared.join(F.broadcast(totals), ["table_name", "column_name"], "left").select(
+    return declared.join(F.broadcast(totals), "slot", "left").select(
         "table_name", "column_name", "test", F.coalesce(found, F.lit(0)).cast("bigint").alias("failures")
     )

@@ -100,11 +100,11 @@ def materialize(
         tables.commit(spark, path, df)
         return tables.read_table(spark, path)
     spark.sql(f"create database if not exists `{space}`")
-    writer = df.write.mode("overwrite").format("parquet")
+    # One task per bucket writes one file per bucket.
+    placed = df if bucket_by is None else df.repartition(*bucket_by)
+    writer = placed.write.mode("overwrite").format("parquet").options(**tables.WRITE_OPTIONS)
     if bucket_by is not None:
-        count, key = bucket_by
-        # One task per bucket writes one file per bucket.
-        writer = df.repartition(count, key).write.mode("overwrite").format("parquet").bucketBy(count, key).sortBy(key)
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
     writer.saveAsTable(f"`{space}`.`{name}`")
     return spark.table(f"`{space}`.`{name}`")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from souklake import oracles
 from souklake.functions import days_between, hours_between, initcap_words, surrogate_key
-from souklake.operators.joins import lookup
+from souklake.operators.joins import hot_keys, lookup
 from souklake.operators.quality import check_not_null, check_relationships, check_unique, run_suite
 from souklake.operators.upsert import upsert, upsert_table
 from souklake.plans import cleaning, facts, ingest
@@ -19,7 +19,7 @@ from souklake.plans.declared_tests import FURTHER_SPECS as FURTHER_TESTS
 from souklake.plans.declared_tests import SPECS as DECLARED_TESTS
 from souklake.plans.snapshots import SNAPSHOTS
 from souklake.plans.warehouse import MARTS, Warehouse, materialize, store_warehouse
-from souklake.session import scratch_dir, tune
+from souklake.session import SHUFFLE_SETTING, plan_bytes, scratch_dir, tune, tuned
 from souklake.sources import landing, tables, testbed
 from souklake.sources.extract import extract, extract_window
 from souklake.sources.nested import flatten_structs, normalize_newlines
@@ -618,17 +618,32 @@ def dq_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_suite(stored_tables(spark, sf_dir), DECLARED_TESTS)
 
 
+# A bucket of items is sorted within a task's memory, and long enough for Parquet's dictionaries to pay.
+BUCKET_BYTES = 16 * 1024**2
+
+
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every table with declared tests, at rest."""
+    """Every table with declared tests, at rest; the marts are built from the source tables that are stored so.
+
+    Items meet their orders in several marts. In buckets of the order they are shuffled once for all of them,
+    unless a hot order asks for joins that can be split.
+    """
     models, root = warehouse(spark, sf_dir), scratch_dir(spark, "tested")
-    marts = store_warehouse(models.sources, root)
     names = dict.fromkeys(spec.table for spec in DECLARED_TESTS)
-    return {
-        name: marts[name] if name in MARTS else materialize(
-            models.sources[cleaning.physical_name(name)], name, "table", "raw", root=root
-        )
-        for name in names
-    }
+    items, raw = models.sources["order_items"], {}
+    with tuned(spark, items, models.sources["orders"]):
+        if hot_keys(items, "order_id").isEmpty():
+            count = max(spark.sparkContext.defaultParallelism, plan_bytes(items) // BUCKET_BYTES + 1)
+            # With as many partitions as buckets, no side of a join on the order is dealt anew.
+            spark.conf.set(SHUFFLE_SETTING, str(count))
+            space = f"raw_{uuid.uuid4().hex}"
+            raw["order_items"] = materialize(items, "order_items", "table", space, bucket_by=(count, "order_id"))
+        for name in names:
+            if name not in MARTS and name not in raw:
+                df = models.sources[cleaning.physical_name(name)]
+                raw[name] = materialize(df, name, "table", "raw", root=root)
+        marts = store_warehouse({cleaning.physical_name(name): df for name, df in raw.items()}, root)
+    return {name: marts[name] if name in MARTS else raw[name] for name in names}
 
 
 @register("dq_suite_relationships", oracles.suite(FURTHER_TESTS, lambda t: t))

@@ -92,3 +92,35 @@ def test_suite_over_the_built_marts(spark):
     }
     assert len(failures) == 59
     assert not any(failures.values())
+
+
+def test_suite_tells_packed_values_from_texts(frame):
+    key = "0123456789abcdef" * 2
+    data = [(key, "a"), (key, "b"), (key.upper(), "a"), (key[:16], None), (None, "a"), ("", ""), ("", "c")]
+    specs = [TestSpec("t", c, test) for c in ("k", "v") for test in ("unique", "not_null")]
+    suite = run_suite({"t": frame(data, "k string, v string")}, specs)
+    assert rows(suite, "column_name", "test", "failures") == [
+        ("k", "not_null", 1), ("k", "unique", 2), ("v", "not_null", 1), ("v", "unique", 1),
+    ]
+    # Keys cross the shuffle as 16 bytes.
+    assert "unhex(" in suite._jdf.queryExecution().executedPlan().toString()
+
+
+def test_marts_are_built_from_the_tables_that_the_suite_stores(spark, monkeypatch):
+    from souklake import queries
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    built = []
+    monkeypatch.setattr(queries, "store_warehouse", lambda sources, root, f=queries.store_warehouse: built.append(sources) or f(sources, root))
+    expected = rows(run_suite(queries.stored_tables(spark, SF_DIR), SPECS))
+    sources = built[0]
+    assert len(sources) == 10 and not any("Window" in plan(df) or "Join" in plan(df) for df in sources.values())
+    # Items lie in buckets, so whoever needs them by order does not shuffle them.
+    assert "Exchange" not in plan(sources["order_items"].groupBy("order_id").count())
+    # With a hot order they do not, so that a join can split it.
+    hot = spark.createDataFrame([("1",)], "order_id string")
+    monkeypatch.setattr(queries, "hot_keys", lambda df, key: hot)
+    assert rows(run_suite(queries.stored_tables(spark, SF_DIR), SPECS)) == expected
+    assert "Exchange" in plan(built[1]["order_items"].groupBy("order_id").count())
