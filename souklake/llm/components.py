@@ -12,31 +12,32 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest neighbour."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are tied to the smallest of them."""
+    """A node and its smaller neighbours are tied to the smallest of them: a row for each row of ``edges``, the
+    node's own in place of that of its smallest neighbour."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    moved = F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u"))
+    return down.join(least, "u").select(moved.alias("u"), F.col("m").alias("v"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """node, component: the smallest node reachable, for every node that has an edge to another.
 
     ``edges`` has two long columns u and v. The number of rounds grows with the logarithm of the number of
-    nodes; each round is written to the shared folder, so that lineage stays short.
+    nodes; each star is written to the shared folder, so that lineage and the plans that the driver holds stay short.
     """
     current = store(edges.select("u", "v").where("u <> v").distinct(), "components")
     while True:
-        current = store(_small_star(_large_star(current)), "components")
-        # Done when all are stars around their smallest node: no centre points on to another one.
-        centres = current.select(F.col("v").alias("u")).distinct()
-        if not current.join(centres, "u", "left_semi").limit(1).count() and not (
-            current.groupBy("u").count().where("count > 1").limit(1).count()
-        ):
+        large = store(_large_star(current), "components")
+        current = store(_small_star(large).distinct(), "components")
+        # Done when all are stars around their smallest node: no node points to two, and no centre points on.
+        ends = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.lit(None).cast("long")))
+        told = ends.groupBy("u").agg(F.count("v").alias("out"), F.count("*").alias("all"))
+        if not told.where("out > 1 or (out = 1 and all > 1)").limit(1).count():
             break
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

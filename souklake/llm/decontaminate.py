@@ -2,7 +2,8 @@
 
 Words are runs of digits, ASCII letters (lower-cased) and non-ASCII characters. A window is ``WINDOW``
 consecutive words of an item; a shorter item is one window. The set is small beside the documents: its
-windows are bucketed by hash into one constant array, which Spark ships once with the stage. A row looks up
+windows are bucketed by hash into one constant array, which Spark ships once with the stage. It is the result of
+a scalar subquery, so no plan spells it out, however often the driver prints and keeps that plan. A row looks up
 each of its windows by hash in that array and compares the words of those that meet a filled bucket. Rows
 are neither exploded nor shuffled.
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from souklake.llm.common import bind, lower_ascii, veiled, whole
@@ -85,9 +86,8 @@ def _tables(windows: DataFrame, per_set: int) -> Iterator[tuple[int, int, str]]:
             yield length, buckets, ";".join(filled[b] + "|" if b in filled else "" for b in range(buckets))
 
 
-def _hits(w: Column, h: Column, length: int, buckets: int, table: str) -> Column:
+def _hits(w: Column, h: Column, length: int, buckets: int, filled: Column) -> Column:
     """Verified windows of a row, as array of (start, length, items in hex)."""
-    filled = F.split(F.lit(table), ";")  # constant: folded once, by the optimizer
 
     def bucket(at: Column) -> Column:
         return F.get(filled, F.pmod(_window_hash(h, at, length), F.lit(buckets)).cast("int"))
@@ -116,6 +116,11 @@ def _hits(w: Column, h: Column, length: int, buckets: int, table: str) -> Column
     )
 
 
+def _constant(spark: SparkSession, table: str) -> Column:
+    """The bucket texts as one value that all rows share."""
+    return spark.createDataFrame([(table,)], "buckets string").select(F.split("buckets", ";")).scalar()
+
+
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, text="text", item_id="item_id", item_text="text", window=WINDOW,
     per_set=SET_WINDOWS,
@@ -123,14 +128,26 @@ def find_hits(
     """``docs`` with ``_n_words`` and ``_hits``: the verified windows of each row, by start."""
     tables = list(_tables(benchmark_windows(benchmark, window, item_id, item_text), per_set))
 
-    def scan(w: Column) -> Column:
-        found = bind(_hashes(w), lambda h: F.concat(*(_hits(w, h, *one) for one in tables)))
-        return F.struct(F.size(w).alias("n"), F.sort_array(found).alias("hits"))
-
     none = F.array().cast("array<struct<at:int,length:int,items:string>>")
     if not tables:
         return docs.select(*docs.columns, F.size(words(text)).alias("_n_words"), none.alias("_hits"))
-    scanned = docs.select(*docs.columns, bind(words(text), scan).alias("_scan"))
+    constants = {f"_table{i}": _constant(docs.sparkSession, table) for i, (_, _, table) in enumerate(tables)}
+    held = F.struct(words(text).alias("w"), *(F.col(c).alias(f"t{i}") for i, c in enumerate(constants)))
+
+    def scan(row: Column) -> Column:
+        def hits(h: Column) -> Column:
+            return F.concat(
+                *(
+                    bind(row[f"t{i}"], lambda filled: _hits(row["w"], h, length, buckets, filled))
+                    for i, (length, buckets, _) in enumerate(tables)
+                )
+            )
+
+        found = bind(_hashes(row["w"]), hits)
+        return F.struct(F.size(row["w"]).alias("n"), F.sort_array(found).alias("hits"))
+
+    # The optimizer puts the subqueries where they are used, so no row carries their arrays.
+    scanned = docs.withColumns(constants).select(*docs.columns, bind(held, scan).alias("_scan"))
     return scanned.select(*docs.columns, F.col("_scan.n").alias("_n_words"), F.col("_scan.hits").alias("_hits"))
 
 

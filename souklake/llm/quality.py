@@ -211,30 +211,34 @@ def choose_cutoffs(
 
     used = F.lit(False)
     for at, (rule, rung) in enumerate(zip(rules, rungs)):
-        counted = [number(used & good & pilot).alias("_used")]
-        for i in range(len(rule.cutoffs)):
-            rejected = F.col(rung) > i
-            counted.append(number((used | rejected) & good & pilot).alias(f"_pilot_{i}"))
-            counted.append(number((used | rejected) & good & ~pilot).alias(f"_proof_{i}"))
-            counted.append(number(rejected & bad & ~used).alias(f"_right_{i}"))
         known = (F.broadcast(strata) if n_strata <= BROADCAST_STRATA else strata).withColumnRenamed("_stratum", "_own")
         rows = cells.join(known, F.col("_stratum").eqNullSafe(F.col("_own"))).drop("_own")
-        counts = rows.groupBy(*strata.columns).agg(*counted)
-        pays, likely, proven = [], [], []
-        for i in range(len(rule.cutoffs)):
-            seen, right = F.col(f"_pilot_{i}"), F.col(f"_right_{i}")
-            pays.append((right >= 1) & (right * F.col("_n_pilot") >= GAIN * (seen - F.col("_used")) * F.col("n")))
-            expected = F.try_divide((seen + F.sqrt(seen)) * n_proof, F.col("_n_pilot"))
-            likely.append(safe(F.coalesce(F.ceil(expected), F.lit(0)).cast("long")))
-            proven.append(safe(F.col(f"_proof_{i}")))
-        wanted = F.coalesce(*(F.when(F.col("_open") & p & q, F.lit(i)) for i, (p, q) in enumerate(zip(pays, likely))))
-        counts = counts.withColumn("_wanted", wanted)
-        found = F.coalesce(
-            *(F.when((F.col("_wanted") <= i) & p & q, F.lit(i)) for i, (p, q) in enumerate(zip(pays, proven)))
+        # A row per cutoff, so that the plan holds each bound once and the driver never a whole ladder of them.
+        steps = rows.withColumn("_claimed", used).withColumn(
+            "_at", F.explode(F.sequence(F.lit(0), F.lit(len(rule.cutoffs) - 1)))
         )
-        counts = counts.withColumn("_found", found)
+        claimed, rejected = F.col("_claimed"), F.col(rung) > F.col("_at")
+        counts = steps.groupBy(*strata.columns, "_at").agg(
+            number(claimed & good & pilot).alias("_used"),
+            number((claimed | rejected) & good & pilot).alias("_seen"),
+            number((claimed | rejected) & good & ~pilot).alias("_proof"),
+            number(rejected & bad & ~claimed).alias("_right"),
+        )
+        seen, right = F.col("_seen"), F.col("_right")
+        pays = (right >= 1) & (right * F.col("_n_pilot") >= GAIN * (seen - F.col("_used")) * F.col("n"))
+        expected = F.try_divide((seen + F.sqrt(seen)) * n_proof, F.col("_n_pilot"))
+        likely = safe(F.coalesce(F.ceil(expected), F.lit(0)).cast("long"))
+        tested = counts.select(
+            *strata.columns, "_at", pays.alias("_pays"), likely.alias("_likely"), safe(F.col("_proof")).alias("_proven")
+        )
+        own = tested.groupBy(*strata.columns).agg(
+            F.min(F.when(F.col("_open") & F.col("_pays") & F.col("_likely"), F.col("_at"))).alias("_wanted"),
+            F.sort_array(F.collect_list(F.when(F.col("_pays") & F.col("_proven"), F.col("_at")))).alias("_usable"),
+        )
+        found = F.get(F.filter("_usable", lambda i: i >= F.col("_wanted")), F.lit(0))
+        own = own.withColumn("_found", found)
         going = F.col("_open") & F.coalesce(F.col("_found") == F.col("_wanted"), F.col("_wanted").isNull())
-        strata = counts.select(
+        strata = own.select(
             "_stratum",
             "n",
             "_n_pilot",
