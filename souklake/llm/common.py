@@ -10,12 +10,14 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souklake.session import scratch_dir
+from souklake.session import ROW_EXPANSION, plan_bytes, scratch_dir
 
 # The six characters that separate words: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# What one task of a table that is made from stored ones should have to read, unfolded.
+TASK_BYTES = 16 * 1024**2
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -71,3 +73,14 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def gathered(df: DataFrame, more_bytes: int = 0) -> DataFrame:
+    """``df`` in as many tasks as what it reads, and ``more_bytes`` that it unfolds to, ask for; two for each core at
+    least.
+
+    For rows that come out of a shuffle: a small table does not become as many files and tasks as shuffles happen to
+    have partitions. Where there are fewer anyway, nothing changes. Sources count as often as the plan reads them.
+    """
+    wanted = (plan_bytes(df) * ROW_EXPANSION + more_bytes) // TASK_BYTES + 1
+    return df.coalesce(max(wanted, 2 * df.sparkSession.sparkContext.defaultParallelism))

@@ -34,8 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souklake.llm.common import LOWER, UPPER, ship, store, veiled
-from souklake.llm.components import connected_components
+from souklake.llm.common import LOWER, UPPER, gathered, ship, store, veiled
+from souklake.llm.components import Forest, connected_components
 
 SHINGLE = 5
 THRESHOLD = (75, 100)
@@ -61,6 +61,8 @@ OPEN_PAIRS, FRUITFUL, MAX_ROUNDS = 16, 0.05, 6
 BLOCK_SETS, PAIRS_PER_SCAN = 500, 32
 # Candidates up to this many (some 64 bytes each) find their texts by a broadcast, more of them by a shuffle.
 BROADCAST_NODES = 500_000
+# Bytes of a pair of nodes, of a pair with both profiles, and of one with both texts: how many pairs a task gets.
+PAIR_BYTES, PROFILED_BYTES, TEXTS_BYTES = 16, 1 << 10, 16 << 10
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _U = np.uint64
@@ -436,18 +438,16 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int], size
         return texts.select(F.col("node").alias(node), *(F.col(c).alias(f"{node}_{c}") for c in columns))
 
     told = pairs.join(side("u", "n", "counts"), "u").join(side("v", "n", "counts"), "v")
-    close = store(
-        told.select("u", "v", "u_n", "v_n", "u_counts", "v_counts").mapInArrow(_close(threshold), "u long, v long"),
-        "jaccard-close",
-    )
+    told = gathered(told.select("u", "v", "u_n", "v_n", "u_counts", "v_counts"), pairs.count() * PROFILED_BYTES)
+    close = store(told.mapInArrow(_close(threshold), "u long, v long"), "jaccard-close")
     both = close.join(side("u", "text"), "u").join(side("v", "text"), "v").select("u", "v", "u_text", "v_text")
-    return both.mapInArrow(_compare(threshold, size), "u long, v long")
+    return gathered(both, close.count() * TEXTS_BYTES).mapInArrow(_compare(threshold, size), "u long, v long")
 
 
 def _texts(docs: DataFrame, info: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """node, text, n, counts for the given nodes, from one document each."""
     first = info.groupBy("node").agg(F.min("doc").alias("doc"))
-    wanted = store(nodes.join(first, "node"), "jaccard-wanted")
+    wanted = store(gathered(nodes.join(first, "node")), "jaccard-wanted")
     if wanted.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
     # Rows that repeat an id with another text belong to another node and fall out here.
@@ -459,26 +459,6 @@ def _texts(docs: DataFrame, info: DataFrame, nodes: DataFrame, size: int) -> Dat
     return store(found, "jaccard-texts")
 
 
-class _Forest:
-    """Which components are tied together by the links that a task has seen."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, node: int) -> int:
-        up = self.up
-        while (above := up.get(node, node)) != node:
-            up[node] = node = up.get(above, above)
-        return node
-
-    def tie(self, a: int, b: int) -> bool:
-        """Whether this ties what was apart."""
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
 def _scan(threshold: tuple[int, int], size: int, block: list[tuple[int, int, np.ndarray]]):
     """Links (u, v) between the sets (node, component, shingles) of a block and every text (node, component, text)
     that streams by, by counting common shingles. A task hands on a link only where it ties components that
@@ -486,7 +466,7 @@ def _scan(threshold: tuple[int, int], size: int, block: list[tuple[int, int, np.
     num, den = threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = _Forest()
+        forest = Forest()
         names = np.array([node for node, _, _ in block], dtype=np.int64)
         groups = np.array([component for _, component, _ in block], dtype=np.int64)
         sizes = np.array([len(items) for _, _, items in block], dtype=np.int64)
@@ -522,13 +502,15 @@ def _block_links(members: DataFrame, stragglers: DataFrame, texts: DataFrame, n:
         stragglers.join(texts, "node").select("node", "c", "text", F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block")),
         "jaccard-stragglers",
     )
-    others = store(members.select("node", "c").distinct().join(texts, "node").select("node", "c", "text"), "jaccard-others")
+    others = members.select("node", "c").distinct().join(texts, "node").select("node", "c", "text")
+    others = store(gathered(others), "jaccard-others")
     links = None
+    # Two tasks may hand on the same link; few do, and an exchange for each block costs more than they do.
     for block in range(blocks):
         rows = queries.where(F.col("block") == block).select("node", "c", "text").collect()
         if rows:
             held = [(row["node"], row["c"], shingles(row["text"], size)) for row in rows]
-            found = store(others.mapInArrow(_scan(threshold, size, held), "u long, v long").distinct(), "jaccard-links")
+            found = store(others.mapInArrow(_scan(threshold, size, held), "u long, v long"), "jaccard-links")
             links = found if links is None else links.union(found)
     return links
 
@@ -557,15 +539,12 @@ def similar_nodes(
         .applyInArrow(_join_part(threshold), _FOUND),
         "jaccard-found",
     )
-    votes = store(
-        found.where("v is not null").groupBy("u", "v").agg(F.sum("n").alias("votes"), F.min("need").alias("need")),
-        "jaccard-votes",
-    )
+    summed = found.where("v is not null").groupBy("u", "v").agg(F.sum("n").alias("votes"), F.min("need").alias("need"))
+    votes = store(gathered(summed), "jaccard-votes")
     # A pair that also shares a long list is looked at there, so here the lists it shares are all it has.
     pairs = votes.where("votes >= need")
-    live = store(
-        found.where("sig is not null").select("sig", F.col("u").alias("node"), "n", "need").distinct(), "jaccard-live"
-    )
+    listed = found.where("sig is not null").select("sig", F.col("u").alias("node"), "n", "need").distinct()
+    live = store(gathered(listed), "jaccard-live")
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).union(live.select("node")).distinct()
     texts = _texts(docs, info, nodes, size)
 
@@ -589,9 +568,9 @@ def similar_nodes(
         pairs.select("v", "u", "votes")
     )
     todo = best(both_ways.union(stars(live.withColumn("c", F.col("node")), 0)))
-    tried = store(todo.distinct(), "jaccard-tried")
+    tried = store(gathered(todo.distinct()), "jaccard-tried")
     first = store(_verify(tried, texts, threshold, size), "jaccard-links")
-    components = store(connected_components(first), "jaccard-components")
+    components = store(gathered(connected_components(first)), "jaccard-components")
 
     rest, round_, done, fruitful = pairs.select("u", "v"), 0, False, True
     while not done:
@@ -601,7 +580,7 @@ def similar_nodes(
             F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.count("*").alias("n_c")
         )
         open_ = sizes.where("n_c > 1").select("sig", ((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs"))
-        members = store(named.join(open_, "sig"), "jaccard-open")
+        members = store(gathered(named.join(open_, "sig")), "jaccard-open")
         total = members.groupBy("sig").agg(F.count("*").alias("k"), F.first("pairs").alias("p")).agg(
             F.sum("k").alias("k"), F.sum("p").alias("p")
         ).first()
@@ -613,7 +592,7 @@ def similar_nodes(
                 F.max(F.struct("k", "c")).alias("largest")
             )
             stragglers = members.join(largest, "sig").where(F.col("c") != F.col("largest.c")).select("node", "c").distinct()
-            stragglers = store(stragglers, "jaccard-stragglers")
+            stragglers = store(gathered(stragglers), "jaccard-stragglers")
             n_open, n_stragglers = members.select("node").distinct().count(), stragglers.count()
             if total["p"] > PAIRS_PER_SCAN * n_open * -(-n_stragglers // BLOCK_SETS):
                 scanned = _block_links(members, stragglers, texts, n_stragglers, threshold, size)
@@ -639,17 +618,21 @@ def similar_nodes(
             rest = None
         if todo is None and scanned is None:
             break
-        if todo is None:
-            todo = tried.limit(0)
-        todo = store(todo.distinct().join(tried, ["u", "v"], "left_anti"), "jaccard-tried")
-        new = _verify(todo, texts, threshold, size)
-        new = store(new if scanned is None else new.union(scanned), "jaccard-links")
-        tried, n_new = tried.union(todo), new.count()
-        fruitful = n_new >= FRUITFUL * todo.count()
+        new = scanned
+        if todo is not None:
+            todo = todo.distinct().join(tried, ["u", "v"], "left_anti")
+            # A round has no more pairs than the tables it is made from have rows, the last turn as many as are open.
+            open_bytes = int(total["p"] or 0) * PAIR_BYTES if done else 0
+            todo = store(gathered(todo, open_bytes), "jaccard-tried")
+            tried = tried.union(todo)
+            new = store(_verify(todo, texts, threshold, size), "jaccard-links")
+            new = new if scanned is None else new.union(scanned)
+        n_new = new.count()
+        fruitful = done or n_new >= FRUITFUL * todo.count()
         if n_new:
             # Components so far are stars; new links join them.
             known = components.select(F.col("node").alias("u"), F.col("component").alias("v"))
-            components = store(connected_components(known.union(new)), "jaccard-components")
+            components = store(gathered(connected_components(known.union(new))), "jaccard-components")
     return components
 
 
