@@ -59,7 +59,7 @@ SHORT_LIST, BATCH_LIST = 32, 64
 OPEN_PAIRS, FRUITFUL, MAX_ROUNDS = 16, 0.05, 6
 # Open pairs are scanned for instead, in blocks of so many sets, where they outnumber the scanned rows so many times.
 BLOCK_SETS, PAIRS_PER_SCAN = 500, 32
-# Candidates up to this many (some 64 bytes each) find their texts by a broadcast, more of them by a shuffle.
+# Candidates, or pairs of them, up to this many (some 64 bytes each) find their texts by a broadcast, more by a shuffle.
 BROADCAST_NODES = 500_000
 # Bytes of a pair of nodes, of a pair with both profiles, and of one with both texts: how many pairs a task gets.
 PAIR_BYTES, PROFILED_BYTES, TEXTS_BYTES = 16, 1 << 10, 16 << 10
@@ -440,8 +440,12 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int], size
     told = pairs.join(side("u", "n", "counts"), "u").join(side("v", "n", "counts"), "v")
     told = gathered(told.select("u", "v", "u_n", "v_n", "u_counts", "v_counts"), pairs.count() * PROFILED_BYTES)
     close = store(told.mapInArrow(_close(threshold), "u long, v long"), "jaccard-close")
-    both = close.join(side("u", "text"), "u").join(side("v", "text"), "v").select("u", "v", "u_text", "v_text")
-    return gathered(both, close.count() * TEXTS_BYTES).mapInArrow(_compare(threshold, size), "u long, v long")
+    n_close, first, second = close.count(), close, side("v", "text")
+    if n_close <= BROADCAST_NODES:
+        # Only texts of these pairs enter the shuffle, not those of all candidates in every round.
+        first, second = F.broadcast(close), second.join(F.broadcast(close.select("v").distinct()), "v", "left_semi")
+    both = first.join(side("u", "text"), "u").join(second, "v").select("u", "v", "u_text", "v_text")
+    return gathered(both, n_close * TEXTS_BYTES).mapInArrow(_compare(threshold, size), "u long, v long")
 
 
 def _texts(docs: DataFrame, info: DataFrame, nodes: DataFrame, size: int) -> DataFrame:

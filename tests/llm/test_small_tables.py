@@ -72,3 +72,24 @@ def test_large_tables_keep_their_partitions(spark, many_partitions, monkeypatch,
     assert common.gathered(shuffled).rdd.getNumPartitions() == many_partitions
     monkeypatch.setattr(common, "TASK_BYTES", 1)
     assert common.gathered(shuffled).rdd.getNumPartitions() == PARTITIONS
+
+
+def test_only_texts_of_close_pairs_are_shuffled(spark):
+    """A text without a close pair passes no exchange on its way to the comparison."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, " ".join(f"w{k}" for k in range(20)) + f" end{i % 2}") for i in (1, 2)]
+        rows += [(i, " ".join(f"r{i}x{k}" for k in range(20))) for i in range(3, 40)]
+        nodes = [(jaccard.node_of(jaccard.shingles(text)), text) for _, text in rows]
+        texts = common.store(
+            spark.createDataFrame(nodes, "node long, text string").mapInArrow(
+                jaccard._profiles(5), "node long, text string, n long, counts binary"
+            ), "test-texts",
+        )
+        pairs = spark.createDataFrame([(nodes[0][0], nodes[1][0]), (nodes[0][0], nodes[2][0])], "u long, v long")
+        linked = jaccard._verify(pairs, texts, (75, 100), 5)
+        assert [tuple(row) for row in linked.collect()] == [(nodes[0][0], nodes[1][0])]
+        plan = linked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("BroadcastHashJoin") == 2 and "LeftSemi" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
