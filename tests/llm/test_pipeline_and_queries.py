@@ -47,7 +47,7 @@ def test_query_has_its_columns_and_a_row_per_document(spark, name):
 
 def test_all_queries_are_registered():
     assert [n for n in queries() if n.startswith("op")] == list(QUERIES)
-    assert "pipeline" in queries() and len(QUERIES) == 10
+    assert "pipeline" in queries() and len(QUERIES) == 13
 
 
 def test_the_entry_works_without_this_subpackage():
